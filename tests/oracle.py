@@ -85,7 +85,7 @@ def check(spark, con, query, path: str) -> list[str]:
         return ["no rows"]
     if query.sql is None:
         return []
-    want = con.execute(query.sql).to_arrow_table()
+    want = con.sql(query.sql).to_arrow_table()
     return compare(got, want)
 
 

@@ -15,6 +15,7 @@ def local_session(app: str, cores: str | int = "*", memory: str = "8g") -> Spark
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
