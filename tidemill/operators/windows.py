@@ -56,9 +56,13 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 def top_by_rank(df: DataFrame, value: str, k: int, out: str) -> DataFrame:
     """Rows among the k best by rank, ties kept.
 
-    The k-th best value is found first with a top-k sort of bounded size, so
-    only the rows at or above it reach the ranking window.
+    The k-th best value comes from a top-k of bounded size. Fewer than k rows
+    are better and are ranked in a window; all rows that tie with the k-th
+    best share one rank, however many they are.
     """
-    limit = df.select(value).orderBy(F.col(value).desc_nulls_last()).limit(k).agg(F.min(value)).scalar()
-    best = df.where(F.col(value) >= limit)
-    return best.withColumn(out, F.rank().over(Window.orderBy(F.col(value).desc()))).where(F.col(out) <= k)
+    best = df.where(F.col(value).isNotNull()).select(value).orderBy(F.col(value).desc()).limit(k)
+    kth = best.agg(F.min(value)).scalar()
+    above = df.where(F.col(value) > kth).withColumn(out, F.rank().over(Window.orderBy(F.col(value).desc())))
+    better = best.agg(F.count_if(F.col(value) > kth)).scalar()
+    tied = df.where(F.col(value) == kth).withColumn(out, (better + 1).cast("int"))
+    return above.unionByName(tied)
