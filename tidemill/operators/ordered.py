@@ -19,7 +19,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemill.functions.columns import position
-from tidemill.session import parallelism
+from tidemill.session import cut_lineage, parallelism
 
 _POS, _TIE, _RANGE, _PART, _KEY = "__pos", "__tie", "__range", "__part", "__key"
 
@@ -88,6 +88,7 @@ def order_stats(
     dense_rank: str | None = None,
     running: dict[str, str] | None = None,
     n: int | None = None,
+    settle: bool = False,
 ) -> DataFrame:
     """Add row number, rank, dense rank and running sums in the order of ``by``.
 
@@ -95,8 +96,13 @@ def order_stats(
     of the group up to and including the row. ``tie`` must make the order total
     when ``row_number`` or ``running`` is asked for. Nulls sort last. Meant for
     few or large groups; a key with small groups needs no more than a window.
+
+    The input is read three times: for the cut points, for the counts per range
+    and for the ranges. ``settle`` writes it down first, which pays when it is
+    more than a scan.
     """
     keys, running = keys or [], running or {}
+    df = cut_lineage(df) if settle else df
     cut = cut_ranges(df, by, descending, tie, n)
     data = cut.df.withColumn(_KEY, F.struct(*keys) if keys else F.lit(0))
 
@@ -135,41 +141,39 @@ def order_stats(
     return done.select(*df.columns, *[v.alias(o) for o, v in total.items()])
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: dict[str, float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: str | list[str], probs: dict[str, float]) -> DataFrame:
     """One row of linearly interpolated quantiles, exact for any number of rows.
 
     Values are counted first, so a frequent value travels once; the running
-    count over the distinct values finds the neighbours of each position.
+    count over the distinct values finds the neighbours of each position. With
+    several columns the outputs are named ``column_prob``.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
-    seen = order_stats(counts, column, running={"__upto": "__n"})
-    total = counts.agg(F.sum("__n")).scalar()
-    value = F.col(column).cast("double")
-
-    def neighbour(at: Column) -> Column:
-        return F.max(F.when((F.col("__upto") - F.col("__n") <= at) & (F.col("__upto") > at), value))
-
-    picked = seen.withColumn("__total", total)
-    pos = {name: (F.col("__total") - 1) * F.lit(float(p)) for name, p in probs.items()}
-    ends = picked.agg(
-        F.max("__total").alias("__total"),
-        *[neighbour(F.floor(at)).alias(f"__lo_{name}") for name, at in pos.items()],
-        *[neighbour(F.ceil(at)).alias(f"__hi_{name}") for name, at in pos.items()],
-    )
-    return ends.select(
-        *[
-            (
-                F.col(f"__lo_{name}")
-                + (F.col(f"__hi_{name}") - F.col(f"__lo_{name}")) * (at - F.floor(at))
-            ).alias(name)
-            for name, at in pos.items()
-        ]
+    many = not isinstance(columns, str)
+    names = list(columns) if many else [columns]
+    cells = F.array(*[F.struct(F.lit(c).alias("__c"), F.col(c).cast("double").alias("__v")) for c in names])
+    counts = cut_lineage(
+        df.select(F.inline(cells)).where("__v IS NOT NULL").groupBy("__c", "__v").agg(F.count(F.lit(1)).alias("__n"))
     )
+    totals = counts.groupBy("__c").agg(F.sum("__n").alias("__total"))
+    seen = order_stats(counts, "__v", keys=["__c"], running={"__upto": "__n"}).join(totals, "__c")
+
+    ends, out = [], []
+    for c in names:
+        for prob, p in probs.items():
+            name = f"{c}_{prob}" if many else prob
+            at = (F.col("__total") - 1) * F.lit(float(p))
+            for side, place in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+                here = (F.col("__c") == c) & (F.col("__upto") - F.col("__n") <= place) & (F.col("__upto") > place)
+                ends.append(F.max(F.when(here, F.col("__v"))).alias(f"__{side}_{name}"))
+            ends.append(F.max(F.when(F.col("__c") == c, at - F.floor(at))).alias(f"__part_{name}"))
+            lo, hi = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
+            out.append((lo + (hi - lo) * F.col(f"__part_{name}")).alias(name))
+    return seen.agg(*ends).select(*out)
 
 
 def average_percent_rank(df: DataFrame, column: str, out: str) -> DataFrame:
     """Percent rank where ties share their mean rank; null values get 0."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
+    counts = cut_lineage(df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n")))
     seen = order_stats(counts, column, running={"__upto": "__n"})
     total = counts.agg(F.sum("__n")).scalar()
     mean_rank = F.col("__upto") - F.col("__n") + (F.col("__n") + 1) / F.lit(2.0)

@@ -51,7 +51,7 @@ def monthly_spend(accounts: DataFrame, transactions: DataFrame) -> DataFrame:
             "prev_month_spend": F.lag("total_spend").over(by_slice),
         }
     )
-    ranked = order_stats(windows, "total_spend", descending=True, rank="spend_rank")
+    ranked = order_stats(windows, "total_spend", descending=True, rank="spend_rank", settle=True)
     return ranked.select(
         *KEYS,
         dbl("total_spend").alias("total_spend"),

@@ -51,11 +51,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder, so a lost executor does not restart a loop."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Write the frame to the shared folder once and read it back.
+
+    Later steps start from the files: a lost executor does not restart a loop,
+    an expensive input is not computed again for each use, and Spark knows the
+    real size when it picks a join.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def parallelism(spark: SparkSession) -> int:
