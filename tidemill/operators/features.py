@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemill.functions.columns import dbl, money
 from tidemill.functions.labels import first_match
 from tidemill.operators.ordered import exact_quantiles
+from tidemill.session import cut_lineage
 
 
 def months_before(day: datetime.date, months: int) -> datetime.date:
@@ -125,7 +126,7 @@ def rfm(df: DataFrame, key: str, date: str, value: str, after: datetime.date, up
     The edges differ on purpose: a recency at the lower cut is 2, a frequency
     there is 1; a frequency at the upper cut is 2, a monetary value there 3.
     """
-    each = (
+    each = cut_lineage(
         df.where(between(date, after, upto))
         .groupBy(key)
         .agg(F.max(date).alias("__last"), F.count(F.lit(1)).alias("frequency"), dbl(F.sum(money(value))).alias("monetary"))
