@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, NumericType, StringType, StructType
 
 from tidemill.functions import labels
+from tidemill.functions.casting import safe_cast
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -66,7 +67,12 @@ def impose_types(types: dict[str, DataType | str]) -> Transform:
     """Cast the named columns, bad values become null; absent names are skipped."""
 
     def cast(df: DataFrame) -> DataFrame:
-        return df.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+        return df.select(
+            *[
+                safe_cast(F.col(f.name), types[f.name], f.dataType).alias(f.name) if f.name in types else F.col(f.name)
+                for f in df.schema
+            ]
+        )
 
     return cast
 
@@ -105,7 +111,7 @@ def split_valid(df: DataFrame, types: dict[str, DataType | str], required: Seque
     ``__reason`` names the required columns that are missing or did not parse;
     it is null for a valid row.
     """
-    typed = {c: F.col(c).try_cast(t) for c, t in types.items()}
+    typed = {c: safe_cast(F.col(c), t, df.schema[c].dataType) for c, t in types.items()}
     faults = [
         F.when(F.col(c).isNull(), F.lit(f"{c} missing")).when(typed.get(c, F.col(c)).isNull(), F.lit(f"{c} unreadable"))
         for c in required

@@ -21,6 +21,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemill.functions.columns import position
 from tidemill.session import cut_lineage, parallelism
 
+# One task sorts this many rows in about a second.
+SMALL = 200_000
+
 _POS, _TIE, _RANGE, _PART, _KEY = "__pos", "__tie", "__range", "__part", "__key"
 
 
@@ -77,6 +80,23 @@ def cut_ranges(
     return Ranges(df.drop(_POS, _TIE), by, descending, tie)
 
 
+def _plain_stats(df, by, keys, descending, tie, row_number, rank, dense_rank, running) -> DataFrame:
+    """The same by ordinary windows, for an input whose row count is known to be small."""
+    first = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_last()
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    total = group.orderBy(first, *([F.col(tie)] if tie else []))
+    steps = {}
+    if row_number:
+        steps[row_number] = F.row_number().over(total)
+    if rank:
+        steps[rank] = F.rank().over(group.orderBy(first))
+    if dense_rank:
+        steps[dense_rank] = F.dense_rank().over(group.orderBy(first))
+    for out, source in running.items():
+        steps[out] = F.sum(source).over(total.rowsBetween(Window.unboundedPreceding, 0))
+    return df.withColumns(steps)
+
+
 def order_stats(
     df: DataFrame,
     by: str,
@@ -102,7 +122,10 @@ def order_stats(
     more than a scan.
     """
     keys, running = keys or [], running or {}
-    df = cut_lineage(df) if settle else df
+    if settle:
+        df = cut_lineage(df)
+        if df.count() <= SMALL:
+            return _plain_stats(df, by, keys, descending, tie, row_number, rank, dense_rank, running)
     cut = cut_ranges(df, by, descending, tie, n)
     data = cut.df.withColumn(_KEY, F.struct(*keys) if keys else F.lit(0))
 
@@ -151,11 +174,9 @@ def exact_quantiles(df: DataFrame, columns: str | list[str], probs: dict[str, fl
     many = not isinstance(columns, str)
     names = list(columns) if many else [columns]
     cells = F.array(*[F.struct(F.lit(c).alias("__c"), F.col(c).cast("double").alias("__v")) for c in names])
-    counts = cut_lineage(
-        df.select(F.inline(cells)).where("__v IS NOT NULL").groupBy("__c", "__v").agg(F.count(F.lit(1)).alias("__n"))
-    )
-    totals = counts.groupBy("__c").agg(F.sum("__n").alias("__total"))
-    seen = order_stats(counts, "__v", keys=["__c"], running={"__upto": "__n"}).join(totals, "__c")
+    counts = df.select(F.inline(cells)).where("__v IS NOT NULL").groupBy("__c", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    seen = cut_lineage(order_stats(counts, "__v", keys=["__c"], running={"__upto": "__n"}, settle=True))
+    seen = seen.join(seen.groupBy("__c").agg(F.sum("__n").alias("__total")), "__c")
 
     ends, out = [], []
     for c in names:
@@ -173,9 +194,9 @@ def exact_quantiles(df: DataFrame, columns: str | list[str], probs: dict[str, fl
 
 def average_percent_rank(df: DataFrame, column: str, out: str) -> DataFrame:
     """Percent rank where ties share their mean rank; null values get 0."""
-    counts = cut_lineage(df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n")))
-    seen = order_stats(counts, column, running={"__upto": "__n"})
-    total = counts.agg(F.sum("__n")).scalar()
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
+    seen = cut_lineage(order_stats(counts, column, running={"__upto": "__n"}, settle=True))
+    total = seen.agg(F.sum("__n")).scalar()
     mean_rank = F.col("__upto") - F.col("__n") + (F.col("__n") + 1) / F.lit(2.0)
     shares = seen.select(F.col(column), (mean_rank / total).alias(out))
     return df.join(shares, column, "left").select(*df.columns, F.coalesce(out, F.lit(0.0)).alias(out))

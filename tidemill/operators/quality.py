@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from tidemill.functions.casting import is_date, is_number
+
 
 class ValidationError(ValueError):
     """A frame does not meet a check."""
@@ -130,22 +132,9 @@ def suite(df: DataFrame, checks: Sequence[Check], unique: dict[str, Sequence[str
     return report.withColumn("status", F.when(F.col("bad_rows") == 0, "passed").otherwise("failed"))
 
 
-# The date formats a text may have.
-DATE_FORMATS = ["yyyy/MM/dd", "M/dd/yyyy", "MM/dd/yyyy", "yyyy", "MM.dd.yyyy", "MM/yyyy/dd", "MM-dd-yyyy"]
-
-
-def is_number(column: str) -> Column:
-    return F.col(column).try_cast("decimal(38,10)").isNotNull()
-
-
-def is_date(column: str) -> Column:
-    parsed = [F.try_to_date(column, f) for f in DATE_FORMATS] + [F.col(column).try_cast("timestamp").cast("date")]
-    return F.coalesce(*parsed).isNotNull()
-
-
 def parse_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """How many values of each text column read as a number or as a date."""
-    tests = {"n_values": lambda c: F.col(c).isNotNull(), "n_numbers": is_number, "n_dates": is_date}
+    tests = {"n_values": lambda c: F.col(c).isNotNull(), "n_numbers": lambda c: is_number(F.col(c)), "n_dates": lambda c: is_date(F.col(c))}
     row = df.agg(*[F.count_if(test(c)).alias(f"{c}__{n}") for c in columns for n, test in tests.items()])
     parts = [
         F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{n}").alias(n) for n in tests]) for c in columns

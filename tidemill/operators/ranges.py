@@ -95,12 +95,14 @@ def point_in_period(
     return interval_join(points, periods, point, point, begin, end, width, closed=True)
 
 
+_QUAD = "(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+
+
 def ipv4_number(address: Column) -> Column:
     """Dotted quad to its number; null when it is not an address."""
-    quads = F.split(address, r"\.")
-    part = [F.try_element_at(quads, F.lit(i)).try_cast("bigint") for i in (1, 2, 3, 4)]
-    valid = (F.size(quads) == 4) & part[0].between(0, 255) & part[1].between(0, 255) & part[2].between(0, 255) & part[3].between(0, 255)
-    return F.when(valid, part[0] * 16777216 + part[1] * 65536 + part[2] * 256 + part[3])
+    parts = F.transform(F.split(address, r"\."), lambda q: q.cast("bigint"))
+    number = F.aggregate(parts, F.lit(0).cast("bigint"), lambda n, q: n * 256 + q)
+    return F.when(address.rlike(rf"^{_QUAD}(\.{_QUAD}){{3}}$"), number)
 
 
 def net_mask(bits: Column) -> Column:
@@ -114,10 +116,11 @@ def network_join(hosts: DataFrame, networks: DataFrame, address: str, network: s
     There are at most 33 prefix lengths; only those in use multiply the hosts.
     """
     lengths = [r[0] for r in networks.select(bits).distinct().collect()]
-    number = ipv4_number(F.col(address))
-    masked = F.array(
-        *[F.struct(F.lit(n).alias("bits"), number.bitwiseAND(net_mask(F.lit(n))).alias("net")) for n in lengths]
+    masked = F.transform(
+        F.array(*[F.struct(F.lit(n).alias("bits"), F.lit(2**32 - 2 ** (32 - n)).alias("mask")) for n in lengths]),
+        lambda m: F.struct(m["bits"].alias("bits"), F.col("__n").bitwiseAND(m["mask"]).alias("net")),
     )
-    probes = hosts.where(number.isNotNull()).withColumn("__p", F.explode(masked))
+    numbered = hosts.withColumn("__n", ipv4_number(F.col(address))).where("__n IS NOT NULL")
+    probes = numbered.withColumn("__p", F.explode(masked)).drop("__n")
     nets = networks.withColumn("__net", ipv4_number(F.col(network)).bitwiseAND(net_mask(F.col(bits))))
     return probes.join(nets, (F.col("__p.bits") == F.col(bits)) & (F.col("__p.net") == F.col("__net"))).drop("__p", "__net")

@@ -278,7 +278,7 @@ def null_drop_keys(t: Tables) -> DataFrame:
               TRY_CAST(l_returnflag AS INTEGER) AS l_returnflag FROM lineitem""",
 )
 def cast_type_map(t: Tables) -> DataFrame:
-    rows = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_returnflag")
+    rows = t.wide("lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_returnflag")
     return rows.transform(
         ops.impose_types(
             {
@@ -305,7 +305,7 @@ def cast_type_map(t: Tables) -> DataFrame:
 def valid_reject(t: Tables) -> DataFrame:
     """Valid rows have no reason, rejected ones say which column failed."""
     spoilt = F.when(F.col("event_id") % 17 == 0, F.lit("x")).otherwise(F.lit(""))
-    feed = t.events.select(
+    feed = t.wide("events", "event_id", "props", "ts").select(
         "event_id",
         F.concat(F.regexp_extract("props", "([0-9]+)", 1), spoilt).alias("k"),
         F.when(F.col("event_id") % 19 == 0, F.lit(None))

@@ -8,8 +8,8 @@ from tidemill.functions.columns import dbl, epoch_us, money
 from tidemill.operators import joins, ranges, similar
 from tidemill.plans.registry import Tables, query
 
-DAY = 86_400_000_000
 HOUR = 3_600_000_000
+JANUARY = 1_704_067_200_000_000  # 2024-01-01 in microseconds
 
 
 @query(
@@ -245,63 +245,45 @@ def user_days(t: Tables) -> DataFrame:
     )
 
 
-def order_periods(t: Tables) -> DataFrame:
-    """Per customer, the period its orders of 2001 span, moved to January 2024 hour by hour."""
-    days = F.datediff(F.to_date("o_orderdate"), F.lit("2001-01-01").cast("date"))
-    recent = t.orders.where(F.year("o_orderdate") == 2001)
-    return recent.groupBy("o_custkey").agg(
-        F.min(days).cast("bigint").alias("first_h"), F.max(days).cast("bigint").alias("last_h")
+def order_windows(t: Tables) -> DataFrame:
+    """One window per order day of 2001: three hours of January 2024 on per day, one to seven hours long.
+
+    There are as many windows as order days, however many orders or events
+    there are, so the pairs grow with the events alone.
+    """
+    day = F.datediff(F.to_date("o_orderdate"), F.lit("2001-01-01").cast("date"))
+    days = t.orders.where(F.year("o_orderdate") == 2001).groupBy(day.alias("day_no")).agg(F.count("*").alias("n_orders"))
+    start = F.lit(JANUARY) + F.col("day_no") * (3 * HOUR)
+    return days.select(
+        "day_no", "n_orders", start.alias("w_begin"), (start + (F.col("n_orders") % 7 + 1) * HOUR).alias("w_end")
     )
 
 
-PERIODS_SQL = """(SELECT o_custkey, min(date_diff('day', DATE '2001-01-01', CAST(o_orderdate AS DATE))) AS first_h,
-                         max(date_diff('day', DATE '2001-01-01', CAST(o_orderdate AS DATE))) AS last_h
-                  FROM orders WHERE year(o_orderdate) = 2001 GROUP BY 1)"""
+WINDOWS_SQL = """(SELECT *, TIMESTAMP '2024-01-01' + to_hours(day_no * 3) AS wb, TIMESTAMP '2024-01-01' + to_hours(day_no * 3 + n_orders % 7 + 1) AS we
+    FROM (SELECT CAST(date_diff('day', DATE '2001-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS day_no, count(*) AS n_orders FROM orders WHERE year(o_orderdate) = 2001 GROUP BY 1))"""
 
 
 @query(
     "join_period_overlap",
-    f"""SELECT user_id, day, count(*) AS n_periods, CAST(sum(o_custkey) AS BIGINT) AS key_sum
-        FROM {SESSIONS_SQL} s JOIN {PERIODS_SQL} p
-        ON NOT (s.b >= TIMESTAMP '2024-01-01' + to_hours(p.last_h) OR TIMESTAMP '2024-01-01' + to_hours(p.first_h) >= s.e)
-        GROUP BY ALL""",
+    f"""SELECT user_id, day, n, day_no, n_orders FROM {SESSIONS_SQL} s JOIN {WINDOWS_SQL} w ON NOT (s.b >= w.we OR w.wb >= s.e)""",
 )
 def period_overlap(t: Tables) -> DataFrame:
-    start = 1704067200000000
-    pairs = ranges.interval_join(
-        user_days(t),
-        order_periods(t),
-        epoch_us("b"),
-        epoch_us("e"),
-        F.lit(start) + F.col("first_h") * HOUR,
-        F.lit(start) + F.col("last_h") * HOUR,
-        width=8 * HOUR,
-    )
-    return pairs.groupBy("user_id", "day").agg(
-        F.count("*").alias("n_periods"), F.sum("o_custkey").alias("key_sum")
-    )
+    """Active time of each user and day against the order windows, pair by pair."""
+    days = user_days(t).withColumns({"b_us": epoch_us("b"), "e_us": epoch_us("e")})
+    c = F.col
+    pairs = ranges.interval_join(days, order_windows(t), c("b_us"), c("e_us"), c("w_begin"), c("w_end"), width=4 * HOUR)
+    return pairs.select("user_id", "day", "n", "day_no", "n_orders")
 
 
 @query(
     "join_point_in_period",
-    f"""SELECT o_custkey, count(*) AS n_events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
-        FROM events JOIN {PERIODS_SQL} p
-        ON ts >= TIMESTAMP '2024-01-01' + to_hours(p.first_h) AND ts <= TIMESTAMP '2024-01-01' + to_hours(p.last_h)
-        GROUP BY 1""",
+    f"""SELECT event_id, day_no, n_orders FROM events JOIN {WINDOWS_SQL} w ON ts >= wb AND ts <= we""",
 )
 def point_in_period(t: Tables) -> DataFrame:
-    start = 1704067200000000
-    pairs = ranges.point_in_period(
-        t.events.select("ts", "value"),
-        order_periods(t),
-        epoch_us("ts"),
-        F.lit(start) + F.col("first_h") * HOUR,
-        F.lit(start) + F.col("last_h") * HOUR,
-        width=8 * HOUR,
-    )
-    return pairs.groupBy("o_custkey").agg(
-        F.count("*").alias("n_events"), dbl(F.sum(money("value"))).alias("total_value")
-    )
+    points = t.events.select("event_id", epoch_us("ts").alias("at"))
+    c = F.col
+    pairs = ranges.point_in_period(points, order_windows(t), c("at"), c("w_begin"), c("w_end"), width=4 * HOUR)
+    return pairs.select("event_id", "day_no", "n_orders")
 
 
 @query(

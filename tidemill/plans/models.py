@@ -33,7 +33,7 @@ MODEL = models.logistic({"n_chars": -0.0005, "n_lines": 0.04, "is_en": 0.8}, -0.
        SELECT doc_id, quality, CAST(round(CAST(1 / (1 + exp(-(n_chars * -0.0005 + n_lines * 0.04 + is_en * 0.8 - 0.2))) AS DECIMAL(24,8)), 6) AS DOUBLE) AS probability FROM f""",
 )
 def batch_score(t: Tables) -> DataFrame:
-    rows = t.documents.join(t.labels, "doc_id").select(
+    rows = t.wide("documents", "doc_id", "n_chars", "text", "lang").join(t.labels, "doc_id").select(
         "doc_id",
         "quality",
         "n_chars",

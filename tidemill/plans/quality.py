@@ -115,4 +115,4 @@ def parseable(t: Tables) -> DataFrame:
         .when(slot == 6, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
     )
     day = F.when(F.col("event_id") % 3 == 0, F.lit("02/30/2024")).otherwise(F.date_format("ts", "MM/dd/yyyy"))
-    return dq.parse_profile(t.events.select(mixed.alias("mixed"), day.alias("day")), ["mixed", "day"])
+    return dq.parse_profile(t.wide("events", "event_id", "props", "value", "ts", "event_type").select(mixed.alias("mixed"), day.alias("day")), ["mixed", "day"])

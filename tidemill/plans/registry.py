@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemill.session import parallelism
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -20,6 +22,17 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.path}/{name}.parquet")
 
+    def wide(self, name: str, *columns: str) -> DataFrame:
+        """A scan for work that is heavy per row, on all cores.
+
+        Files with fewer splits than there are cores would leave most idle, so
+        their rows are dealt out; a table with enough splits is not shuffled.
+        """
+        scan = getattr(self, name)
+        scan = scan.select(*columns) if columns else scan
+        n = parallelism(self.spark)
+        return scan if scan.rdd.getNumPartitions() >= n else scan.repartition(n)
+
 
 @dataclass(frozen=True)
 class Query:

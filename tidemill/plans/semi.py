@@ -32,7 +32,7 @@ def event_json(t: Tables) -> DataFrame:
         (F.col("user_id") % 4).cast("string"),
         F.lit('"}, "none": null}'),
     )
-    return t.events.select("event_id", "user_id", doc.alias("doc"))
+    return t.wide("events", "event_id", "user_id", "props", "event_type", "value").select("event_id", "user_id", doc.alias("doc"))
 
 
 @query(
@@ -186,8 +186,8 @@ CORPUS_SQL = "(SELECT 'doc' AS kind, doc_id AS id, text FROM documents UNION ALL
 
 
 def corpus(t: Tables) -> DataFrame:
-    docs = t.documents.select(F.lit("doc").alias("kind"), F.col("doc_id").alias("id"), "text")
-    return docs.unionByName(t.pages.select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("text")))
+    docs = t.wide("documents", "doc_id", "text").select(F.lit("doc").alias("kind"), F.col("doc_id").alias("id"), "text")
+    return docs.unionByName(t.wide("pages", "page_id", "html").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("text")))
 
 
 @query(
@@ -233,7 +233,7 @@ def path_lines(t: Tables) -> DataFrame:
         F.concat(F.lit('d = load("@OLD/gs/n'), num(3), F.lit('/{day}.json") + load("s3://hidden/by/stage")')),
         F.concat(F.lit('e = "file:///tmp/'), num(4), F.lit('.txt"')),
     ]
-    return t.pages.select("page_id", F.concat_ws("\n", *lines).alias("text"))
+    return t.wide("pages").select("page_id", F.concat_ws("\n", *lines).alias("text"))
 
 
 PROTO_SQL = "hdfs|s3|s3a|s3n|abfs|abfss|wasb|wasbs|adl|gs|file|https|http"

@@ -28,7 +28,7 @@ def _draw(name: str, key: str = "o_orderkey") -> str:
         'USD' AS currency, CAST(DATE '2024-10-01' + CAST(-365 + floor({_draw('booked')} * 366) AS INTEGER) AS DATE) AS booked FROM orders""",
 )
 def domain(t: Tables) -> DataFrame:
-    return syn.generate(t.orders.select("o_orderkey"), "o_orderkey", FIELDS)
+    return syn.generate(t.wide("orders", "o_orderkey"), "o_orderkey", FIELDS)
 
 
 @query(
@@ -39,7 +39,7 @@ def domain(t: Tables) -> DataFrame:
         SELECT o_orderkey, c_custkey FROM d JOIN c ON pos > upto - w AND pos <= upto WHERE NOT missed UNION ALL SELECT o_orderkey, -1 - o_orderkey FROM d WHERE missed""",
 )
 def join_aware(t: Tables) -> DataFrame:
-    return syn.skewed_children(t.customer, "c_custkey", t.orders, "o_orderkey", miss_rate=0.1)
+    return syn.skewed_children(t.customer, "c_custkey", t.wide("orders", "o_orderkey"), "o_orderkey", miss_rate=0.1)
 
 
 ORDER_TYPES = {"o_custkey": "int", "o_totalprice": "decimal", "o_orderdate": "date", "o_orderpriority": "string"}
@@ -48,7 +48,7 @@ ORDER_TYPES = {"o_custkey": "int", "o_totalprice": "decimal", "o_orderdate": "da
 @query("synth_noise")
 def noise(t: Tables) -> DataFrame:
     """The log of spoilt cells; the rows themselves are checked by a test."""
-    rows = t.orders.withColumn("o_orderdate", F.to_date("o_orderdate"))
+    rows = t.wide("orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
     return syn.add_noise(rows, "o_orderkey", ORDER_TYPES, rate=0.1).select("o_orderkey", F.inline("noise"))
 
 
