@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql.types import DataType, StringType
 
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-_INTEGER = r"^\s*[+-]?\d+(\.\d*)?\s*$"
+_INTEGER = r"^\s*[+-]?\d+\s*$"
 _DAY = r"^\s*[+-]?\d{4,7}(-\d{1,2}(-\d{1,2}([T ].*)?)?)?\s*$"
 # What a text must look like before it is worth parsing.
 SHAPES = {

@@ -66,7 +66,7 @@ def cut_ranges(
     if tie:
         df = df.withColumn(_TIE, position(tie, types[tie]))
     points, frequent, ties = _cuts(df, n)
-    splits = sorted(set(points) | set(frequent) | {math.nextafter(f, math.inf) for f in frequent})
+    splits = sorted(set(points) | {math.nextafter(f, math.inf) for f in frequent}) or [0.0]
     df = Bucketizer(
         splits=[-math.inf, *splits, math.inf], inputCol=_POS, outputCol=_RANGE, handleInvalid="keep"
     ).transform(df)
@@ -119,7 +119,8 @@ def order_stats(
 
     The input is read three times: for the cut points, for the counts per range
     and for the ranges. ``settle`` writes it down first, which pays when it is
-    more than a scan.
+    more than a scan; its row count is then known, and up to ``SMALL`` rows
+    are ordered by a plain window.
     """
     keys, running = keys or [], running or {}
     if settle:
