@@ -24,10 +24,12 @@ TYPES = ["click", "error", "purchase", "signup", "view"]
        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL""",
 )
 def group_multi(t: Tables) -> DataFrame:
-    joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    grouped = joined.groupBy(
-        "o_custkey", "c_name", "c_mktsegment", "c_nationkey", month_label("o_orderdate").alias("ym"), "o_orderpriority"
-    ).agg(F.sum(money("o_totalprice")).alias("s"), F.count("*").alias("n"), F.max("o_totalprice").alias("top"))
+    """Six keys, of which the customer decides three: sum by the other three, then join them on."""
+    sums = t.orders.groupBy("o_custkey", month_label("o_orderdate").alias("ym"), "o_orderpriority").agg(
+        F.sum(money("o_totalprice")).alias("s"), F.count("*").alias("n"), F.max("o_totalprice").alias("top")
+    )
+    who = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment", "c_nationkey")
+    grouped = sums.join(who, "o_custkey")
     return grouped.withColumns({"total": dbl("s"), "mean": dbl("s") / F.col("n")}).drop("s")
 
 
@@ -122,12 +124,13 @@ def pivot_mean(t: Tables) -> DataFrame:
        FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ROLLUP (p_brand, l_returnflag, l_linestatus)""",
 )
 def rollup(t: Tables) -> DataFrame:
-    """Aggregated to the detail first, so the rollup expands a few hundred rows."""
+    """Summed per part before the join and to the detail after it, so the rollup expands a few hundred rows."""
     parts = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    detail = (
-        t.lineitem.join(parts, "l_partkey")
-        .groupBy("p_brand", "l_returnflag", "l_linestatus")
-        .agg(F.sum(money("l_extendedprice")).alias("s"), F.count("*").alias("k"))
+    by_part = t.lineitem.groupBy("l_partkey", "l_returnflag", "l_linestatus").agg(
+        F.sum(money("l_extendedprice")).alias("s"), F.count("*").alias("k")
+    )
+    detail = by_part.join(parts, "l_partkey").groupBy("p_brand", "l_returnflag", "l_linestatus").agg(
+        F.sum("s").alias("s"), F.sum("k").alias("k")
     )
     return agg.rollup_levels(
         detail,

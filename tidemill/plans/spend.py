@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemill.functions.columns import dbl, money, month_label, rounded
-from tidemill.functions.labels import review_flag, size_band
+from tidemill.functions.labels import review_flag
 from tidemill.operators.ordered import order_stats
 from tidemill.plans.registry import Tables, query
 
@@ -15,34 +15,27 @@ KEYS = ["account_id", "customer_name", "account_type", "credit_limit", "year_mon
 def monthly_spend(accounts: DataFrame, transactions: DataFrame) -> DataFrame:
     """One row per account, month and category.
 
-    Everything after the aggregation works on at most (months x categories)
-    rows per account, so the windows by account stay small; the global rank
-    has no such bound and is computed by ranges.
+    Transactions are summed before the join, so an account with a third of
+    them is a few rows per task when it is shuffled. What is left is at most
+    (months x categories) rows per account, so the windows by account stay
+    small; the global rank has no such bound and is computed by ranges.
     """
     active = accounts.where(F.col("status") == "ACTIVE").select(
         "account_id", "customer_name", "account_type", dbl("credit_limit").alias("credit_limit")
     )
-    spent = transactions.where(
-        F.col("transaction_type").isin("DEBIT", "TRANSFER") & F.col("amount").isNotNull()
-    ).select(
-        "transaction_id",
-        "account_id",
-        money("amount").alias("amount"),
-        month_label("transaction_date").alias("year_month"),
-        "merchant_category",
-    )
-    joined = spent.join(active, "account_id").withColumns(
-        {
-            "amount_category": size_band(F.col("amount")),
-            "fraud_flag": review_flag(F.col("account_type"), F.col("amount")),
-        }
-    )
-    monthly = joined.groupBy(*KEYS).agg(
-        F.sum("amount").alias("total_spend"),
+    spent = transactions.where(F.col("transaction_type").isin("DEBIT", "TRANSFER") & F.col("amount").isNotNull())
+    amount = money("amount")
+    sums = spent.groupBy(
+        "account_id", month_label("transaction_date").alias("year_month"), "merchant_category"
+    ).agg(
+        F.sum(amount).alias("total_spend"),
         F.count("transaction_id").alias("transaction_count"),
-        F.max("amount").alias("max_transaction_amount"),
-        F.count_if(F.col("fraud_flag") == "REVIEW").alias("flagged_transactions"),
+        F.max(amount).alias("max_transaction_amount"),
+        # counted as if the account were a credit account; the join decides
+        F.count_if(review_flag(F.lit("CREDIT"), amount) == "REVIEW").alias("__review"),
     )
+    flagged = F.when(F.col("account_type") == "CREDIT", F.col("__review")).otherwise(0)
+    monthly = sums.join(active, "account_id").withColumn("flagged_transactions", flagged).drop("__review")
     by_account = Window.partitionBy("account_id").orderBy("year_month", "merchant_category")
     by_slice = Window.partitionBy("account_id", "merchant_category").orderBy("year_month")
     windows = monthly.withColumns(

@@ -63,5 +63,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def parallelism(spark: SparkSession) -> int:
-    """How many ranges a global order is cut into."""
-    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    """How many ranges a global order is cut into: the shuffle width, or all cores if there are more."""
+    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
