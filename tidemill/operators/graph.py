@@ -48,9 +48,9 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
 
 def islands(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Components numbered from 1 in the order of their least node, with their size."""
-    members = components(edges, src, dst)
+    members = cut_lineage(components(edges, src, dst))
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    numbered = order_stats(sizes, "component", tie="component", row_number="island")
+    numbered = order_stats(sizes, "component", tie="component", row_number="island", settle=True)
     return members.join(numbered, "component")
 
 

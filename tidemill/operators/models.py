@@ -12,7 +12,7 @@ from pyspark.sql.types import DoubleType
 
 from tidemill.functions.columns import rounded
 from tidemill.functions.labels import first_match
-from tidemill.operators.ordered import average_percent_rank, order_stats
+from tidemill.operators.ordered import average_percent_ranks, order_stats
 from tidemill.session import cut_lineage
 
 
@@ -62,9 +62,7 @@ MEASURES = {"aum_0": "aum", "rollup_12monsales": "sales", "proj_sales_3mon": "pr
 def lead_scores(leads: DataFrame, top: int = 600) -> DataFrame:
     """Mean of four percent ranks, rule override of the model score, model rank and lead flag."""
     nonzero = leads.withColumns({c: F.nullif(F.col(c), F.lit(0.0)) for c in MEASURES})
-    ranked = cut_lineage(nonzero)
-    for column, name in MEASURES.items():
-        ranked = average_percent_rank(ranked, column, f"{name}_decile")
+    ranked = average_percent_ranks(cut_lineage(nonzero), {c: f"{name}_decile" for c, name in MEASURES.items()})
     ranked = ranked.na.fill(0.0, list(MEASURES))
     c = F.col
     mean = (c("proj3m_decile") + c("proj_decile") + c("sales_decile") + c("aum_decile")) / 4
