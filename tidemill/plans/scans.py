@@ -18,6 +18,12 @@ def _name(stem: str) -> str:
     return f"{stem}_{uuid.uuid4().hex[:12]}"
 
 
+def _then_drop(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    """Leave no table behind; the files of a table with its own path stay, and the plan reads those."""
+    spark.sql(f"DROP TABLE {name}")
+    return df
+
+
 @query("src_csv_schema", CUSTOMER_SQL)
 def csv_schema(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "csv-schema")
@@ -62,7 +68,7 @@ def format_dispatch(t: Tables) -> DataFrame:
 def catalog_table(t: Tables) -> DataFrame:
     name = _name("supplier")
     writers.overwrite_table(t.supplier, name, scratch_path(t.spark, "catalog"))
-    return t.spark.table(name)
+    return _then_drop(t.spark, name, t.spark.table(name))
 
 
 @query("sink_table_overwrite", "SELECT r_regionkey, r_name FROM region")
@@ -70,7 +76,7 @@ def table_overwrite(t: Tables) -> DataFrame:
     name, path = _name("region"), scratch_path(t.spark, "overwrite")
     writers.overwrite_table(t.region.withColumn("r_name", F.upper("r_name")), name, path)
     writers.overwrite_table(t.region, name, path)
-    return t.spark.table(name)
+    return _then_drop(t.spark, name, t.spark.table(name))
 
 
 @query("sink_csv", "SELECT o_orderpriority, count(*) AS n_orders FROM orders GROUP BY 1")
@@ -99,7 +105,8 @@ def parquet_mode(t: Tables) -> DataFrame:
 def external_table(t: Tables) -> DataFrame:
     name = _name("nation_ext")
     writers.register_directory(t.nation, name, scratch_path(t.spark, "external"))
-    return t.spark.sql(f"SELECT n_regionkey, count(*) AS n_nations FROM {name} GROUP BY n_regionkey")
+    out = t.spark.sql(f"SELECT n_regionkey, count(*) AS n_nations FROM {name} GROUP BY n_regionkey")
+    return _then_drop(t.spark, name, out)
 
 
 @query(

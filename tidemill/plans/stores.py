@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemill.functions.columns import dbl, money, month_label, rounded
-from tidemill.functions.labels import first_match, quarter_label
+from tidemill.functions.labels import quarter_label
 from tidemill.operators import changes as cdc, columns as cols, joins, quality as dq
 from tidemill.operators.aggregates import guarded_percent
 from tidemill.plans.registry import Tables, query
