@@ -7,8 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.session import parallelism
-
 
 @dataclass(frozen=True)
 class Tables:
@@ -30,7 +28,7 @@ class Tables:
         """
         scan = getattr(self, name)
         scan = scan.select(*columns) if columns else scan
-        n = parallelism(self.spark)
+        n = self.spark.sparkContext.defaultParallelism
         return scan if scan.rdd.getNumPartitions() >= n else scan.repartition(n)
 
 
