@@ -40,8 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     if named is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="tidemill-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemill-"))
+        named = context.getCheckpointDir()
     return named
 
 
