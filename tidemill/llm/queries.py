@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import quality
+from tidemill.llm import quality, simhash
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -70,3 +70,9 @@ def op7_quality(spark: SparkSession, path: str) -> DataFrame:
     docs = table(spark, path, "documents").select("doc_id", "text")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return quality.judge(docs).select("doc_id", *(f"quality.{n}" for n in names))
+
+
+@query("op3_simhash")
+def op3_simhash(spark: SparkSession, path: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, path, "documents"))
+    return found.select(F.col("id").alias("doc_id"), simhash.hex_digits().alias("fingerprint"), F.col("component").alias("component_id"))
