@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import quality, simhash
+from tidemill.llm import quality, simhash, urls
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -76,3 +76,34 @@ def op7_quality(spark: SparkSession, path: str) -> DataFrame:
 def op3_simhash(spark: SparkSession, path: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, path, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.hex_digits().alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+# The rules of the check.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+URL_RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+
+
+@query(
+    "op2_url_filter",
+    rf"""
+WITH r(h, p, v) AS (VALUES {URL_RULE_ROWS}),
+u AS (
+    SELECT row_number() OVER () AS rid, page_id,
+           CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+),
+s AS (
+    SELECT rid, page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{urls.UPPER}', '{urls.LOWER}') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM u
+),
+m AS (
+    SELECT s.rid, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS v
+    FROM s JOIN r ON (s.host = h OR ends_with(s.host, '.' || h)) AND starts_with(s.path, p) GROUP BY s.rid
+)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM s LEFT JOIN m USING (rid)
+""",
+)
+def op2_url_filter(spark: SparkSession, path: str) -> DataFrame:
+    rules = spark.sql(f"SELECT * FROM VALUES {URL_RULE_ROWS} AS r(host, path, verdict)")
+    return urls.judge(table(spark, path, "pages").select("page_id", "url"), rules).drop("url")
