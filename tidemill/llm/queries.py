@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import quality, simhash, urls
+from tidemill.llm import quality, simhash, urls, warc
+from tidemill.session import scratch_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -107,3 +108,31 @@ SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM s LEFT JO
 def op2_url_filter(spark: SparkSession, path: str) -> DataFrame:
     rules = spark.sql(f"SELECT * FROM VALUES {URL_RULE_ROWS} AS r(host, path, verdict)")
     return urls.judge(table(spark, path, "pages").select("page_id", "url"), rules).drop("url")
+
+
+@query(
+    "op10_warc",
+    """
+WITH d AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+b AS (
+    SELECT *, list_aggregate(list_transform(range(1, 41), lambda i: right('000' || bin(strpos('0123456789abcdef', substr(h, i, 1)) - 1), 4)), 'string_agg', '') AS bits
+    FROM d
+),
+c AS (
+    SELECT page_id, strlen(t)::BIGINT AS payload_bytes, max(page_id) OVER (PARTITION BY t) AS m,
+           list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+               + 16 * substr(bits, 5 * i + 1, 1)::INT + 8 * substr(bits, 5 * i + 2, 1)::INT + 4 * substr(bits, 5 * i + 3, 1)::INT
+               + 2 * substr(bits, 5 * i + 4, 1)::INT + substr(bits, 5 * i + 5, 1)::INT, 1)), 'string_agg', '') AS payload_digest
+    FROM b
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> m THEN m END AS refers_to
+FROM c
+""",
+)
+def op10_warc(spark: SparkSession, path: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, path, "pages"), folder)
+    return warc.read_archives(spark, folder, payload=False, verify=True).select(
+        warc.key_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.key_of("refers_to").alias("refers_to")
+    )
