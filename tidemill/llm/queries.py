@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import quality, simhash, urls, warc
+from tidemill.llm import bpe, quality, simhash, urls, warc
 from tidemill.session import scratch_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -136,3 +137,12 @@ def op10_warc(spark: SparkSession, path: str) -> DataFrame:
     return warc.read_archives(spark, folder, payload=False, verify=True).select(
         warc.key_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.key_of("refers_to").alias("refers_to")
     )
+
+
+@query("op8_bpe")
+def op8_bpe(spark: SparkSession, path: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    tokens = bpe.encode(table(spark, path, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(tokens, ranks).select(
+        F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
