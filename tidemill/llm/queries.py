@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import bpe, quality, simhash, urls, warc
+from tidemill.llm import bpe, quality, records, simhash, urls, warc
 from tidemill.session import scratch_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -146,3 +146,10 @@ def op8_bpe(spark: SparkSession, path: str) -> DataFrame:
     return bpe.decode(tokens, ranks).select(
         F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@query("op9_records")
+def op9_records(spark: SparkSession, path: str) -> DataFrame:
+    folder = scratch_path(spark, "records")
+    records.write_tokens(table(spark, path, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return records.read_tokens(spark, folder).select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
