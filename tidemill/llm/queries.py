@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import bpe, quality, records, simhash, urls, warc
+from tidemill.llm import bpe, decontaminate, quality, records, simhash, urls, warc
 from tidemill.session import scratch_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -153,3 +153,10 @@ def op9_records(spark: SparkSession, path: str) -> DataFrame:
     folder = scratch_path(spark, "records")
     records.write_tokens(table(spark, path, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return records.read_tokens(spark, folder).select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op6_decontaminate")
+def op6_decontaminate(spark: SparkSession, path: str) -> DataFrame:
+    """One row per document and benchmark item that it holds."""
+    found = decontaminate.find(table(spark, path, "documents"), table(spark, path, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), F.col("windows").alias("n_windows"), F.col("first").alias("first_token"))
