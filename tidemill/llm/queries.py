@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import bpe, decontaminate, quality, records, simhash, urls, warc
+from tidemill.llm import bpe, decontaminate, quality, records, simhash, toxicity, urls, warc
 from tidemill.session import scratch_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -160,3 +160,16 @@ def op6_decontaminate(spark: SparkSession, path: str) -> DataFrame:
     """One row per document and benchmark item that it holds."""
     found = decontaminate.find(table(spark, path, "documents"), table(spark, path, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), F.col("windows").alias("n_windows"), F.col("first").alias("first_token"))
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, path: str) -> DataFrame:
+    def held_out(key):
+        return F.coalesce(F.crc32(key.cast("string")) % 5 == 0, F.lit(False))
+
+    docs = table(spark, path, "documents").select("doc_id", "text")
+    labels = table(spark, path, "labels").where(~held_out(F.col("doc_id"))).select("doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select(
+        F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
