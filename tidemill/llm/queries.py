@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import bpe, decontaminate, quality, records, simhash, toxicity, urls, warc
+from tidemill.llm import bpe, decontaminate, lines, quality, records, simhash, toxicity, urls, warc
 from tidemill.session import scratch_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -173,3 +173,10 @@ def op4_toxicity(spark: SparkSession, path: str) -> DataFrame:
     return scored.select(
         F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query("op5_line_dedup")
+def op5_line_dedup(spark: SparkSession, path: str) -> DataFrame:
+    """Per document: removed lines, and the hash of the text that is left."""
+    kept = lines.deduplicate(table(spark, path, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", F.col("removed_lines").cast("long").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
