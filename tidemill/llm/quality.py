@@ -138,4 +138,8 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
 
 def quality_filter(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns unchanged."""
-    return judge(docs, text, rules).where("quality.kept").select(*docs.columns)
+    # The row number keeps the optimizer from moving the filter below the measures, where
+    # it would be a copy of them all.
+    here = F.monotonically_increasing_id() >= 0
+    judged = judge(docs, text, rules).select(F.struct(*docs.columns).alias("row"), (F.col("quality.kept") & here).alias("keep"))
+    return judged.where("keep").select("row.*")

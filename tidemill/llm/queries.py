@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -180,3 +181,8 @@ def op5_line_dedup(spark: SparkSession, path: str) -> DataFrame:
     """Per document: removed lines, and the hash of the text that is left."""
     kept = lines.deduplicate(table(spark, path, "documents").select("doc_id", "text"))
     return kept.select("doc_id", F.col("removed_lines").cast("long").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, path: str) -> DataFrame:
+    return corpus_pipeline.run(spark, path)
