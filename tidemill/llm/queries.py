@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import bpe, decontaminate, lines, quality, records, simhash, toxicity, urls, warc
+from tidemill.llm import bpe, decontaminate, lines, quality, records, simhash, suffixes, toxicity, urls, warc
 from tidemill.session import scratch_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -186,3 +186,9 @@ def op5_line_dedup(spark: SparkSession, path: str) -> DataFrame:
 @query("pipeline")
 def pipeline(spark: SparkSession, path: str) -> DataFrame:
     return corpus_pipeline.run(spark, path)
+
+
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, path: str) -> DataFrame:
+    kept = suffixes.deduplicate(table(spark, path, "documents"))
+    return kept.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
