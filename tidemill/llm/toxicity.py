@@ -130,7 +130,7 @@ def readings(token: str, model: np.ndarray) -> set[str]:
 
 def features(words: set[str]) -> set[str]:
     """Whole words, and their beginnings for languages that add endings."""
-    return {f"={w}" for w in words} | {w[:k] for w in words for k in (4, 5, 6) if len(w) > k}
+    return {f"={w}" for w in words} | {w[:k] for w in words for k in (4, 5) if len(w) > k}
 
 
 def tokens_of(text: str) -> set[str]:
@@ -193,7 +193,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     shared = spark.sparkContext.broadcast(characters)
     clean = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(label).cast("int").alias("y"))
     chosen = clean.orderBy(F.xxhash64("id"), "id").limit(sample)
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(chosen, "id").select("y", "text")
+    # At most ``sample`` pairs of two numbers: small enough for every task.
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id").select("y", "text")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, set] = {}
@@ -213,7 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 yield pa.RecordBatch.from_arrays([part.column("y"), pa.array(out, pa.list_(pa.string()))], names=["y", "found"])
 
     # Equal texts count once: a text with many copies is one piece of evidence.
-    distinct = rows.groupBy(F.xxhash64("text"), F.sha1("text")).agg(F.max("y").alias("y"), F.first("text").alias("text")).select("y", "text")
+    distinct = cut_lineage(rows.groupBy(F.sha1("text")).agg(F.max("y").alias("y"), F.first("text").alias("text")).select("y", "text"))
     found = distinct.mapInArrow(words, "y int, found array<string>")
     totals = distinct.groupBy("y").count().collect()
     toxic = sum(r["count"] for r in totals if r["y"])
