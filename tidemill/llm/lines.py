@@ -13,6 +13,7 @@ without a witness meet all earlier holders.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -43,13 +44,21 @@ def frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
     return out
 
 
+def _settle(df: DataFrame) -> DataFrame:
+    """Writes the rows down, and lets Spark drop the shuffle files of the steps before: they go when the driver collects garbage."""
+    out = cut_lineage(df)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def _mix(h: np.ndarray, factor: int) -> np.ndarray:
     h = (h ^ (h >> np.uint64(29))) * np.uint64(factor)
     return h ^ (h >> np.uint64(32))
 
 
 def _cut(counts: Broadcast, threshold: float, kind: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Documents (doc, version, text) to their lines: place, identity of the word set, its size and prefix."""
+    """Documents (doc, version, text) to their lines: place, identity of the word set, its size, and its prefix as 32-bit hashes."""
     names = [*PLACE, "entry", "size", "prefix"]
     types = [kind, pa.int64(), pa.int32()]
 
@@ -78,7 +87,7 @@ def _cut(counts: Broadcast, threshold: float, kind: pa.DataType) -> Callable[[It
                 length = size - np.ceil(threshold * size - 1e-9).astype(np.int64) + 1
                 ends = np.cumsum(length)
                 taken = np.repeat(first - (ends - length), length) + np.arange(int(length.sum()))
-                prefix = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(h[taken].view(np.int64)))
+                prefix = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(h[taken].view(np.int64).astype(np.int32)))
                 where = part.select(["doc", "version"]).take(pa.array(at, pa.int64()))
                 columns = [where.column(0).cast(types[0]), where.column(1), pa.array(lines, types[2]), pa.array(entry), pa.array(size, pa.int32()), prefix]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -107,10 +116,15 @@ def _tested(rows: DataFrame, column: str, bits: Broadcast) -> DataFrame:
     return rows.mapInArrow(run, rows.schema)
 
 
-def _texts(docs: DataFrame, bits: Broadcast) -> DataFrame:
-    """Rows (spot, doc, version, line, content) of the lines whose place may be in the set."""
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows (order, content) for the places (order, doc, version, line) of ``wanted``."""
+    wanted = _settle(wanted.withColumn("spot", F.xxhash64(*PLACE)))
     cut = docs.select("doc", "version", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-    return _tested(cut.select(F.xxhash64(*PLACE).alias("spot"), *PLACE, "content"), "spot", bits)
+    near = _tested(cut.select(F.xxhash64(*PLACE).alias("spot"), *PLACE, "content"), "spot", _bits(wanted, "spot"))
+    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"w.{c}")) for c in PLACE]
+    met = near.alias("t").join(wanted.alias("w"), [F.col("t.spot") == F.col("w.spot"), *same])
+    # Rows with equal key and text give a line more than once.
+    return _settle(met.select("w.order", "t.content").dropDuplicates(["order"]))
 
 
 def _possible(t: float) -> Column:
@@ -122,8 +136,8 @@ def _possible(t: float) -> Column:
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Entries of ``pairs`` (entry, other) whose similarity reaches the threshold."""
-    both = pairs.join(sets, "entry").join(sets.select(F.col("entry").alias("other"), F.col("content").alias("other_content")), "other")
+    """The ``order`` of pairs (order, other) whose similarity reaches the threshold."""
+    both = pairs.join(sets, "order").join(sets.select(F.col("order").alias("other"), F.col("content").alias("other_content")), "other")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,9 +146,9 @@ def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                 x, y = set(a.split()), set(b.split())
                 shared = len(x & y)
                 hit.append(shared >= threshold * (len(x) + len(y) - shared) - 1e-9)
-            yield pa.RecordBatch.from_arrays([batch.column("entry").filter(pa.array(hit, pa.bool_()))], names=["entry"])
+            yield pa.RecordBatch.from_arrays([batch.column("order").filter(pa.array(hit, pa.bool_()))], names=["order"])
 
-    return both.select("entry", "content", "other_content").mapInArrow(run, "entry long").distinct()
+    return both.select("order", "content", "other_content").mapInArrow(run, "order long").distinct()
 
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
@@ -152,46 +166,38 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     # A bounded number of counters.
     counts = spark.sparkContext.broadcast(frequencies(rows))
     kind = _arrow(docs.select(key).schema[0].dataType)
-    shape = f"doc {field}, version long, line int, entry long, size int, prefix array<long>"
-    lines = cut_lineage(rows.mapInArrow(_cut(counts, threshold, kind), shape))
-    place = F.struct(*PLACE)
-    firsts = cut_lineage(lines.groupBy("entry").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")))
-
-    # Most prefix words occur once; those cannot be shared and are not shuffled with their rows.
-    words = lines.select(F.explode("prefix").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    exploded = lines.select("entry", "size", place.alias("first"), F.posexplode("prefix").alias("place", "word"))
-    narrow = _tested(exploded.select("word", "place", "size", "entry", "first.*"), "word", _bits(words, "word"))
-    held = cut_lineage(
-        narrow.groupBy("word", "entry").agg(F.min(place).alias("first"), F.first("size").alias("size"), F.first("place").alias("place"))
+    shape = f"doc {field}, version long, line int, entry long, size int, prefix array<int>"
+    lines = _settle(rows.mapInArrow(_cut(counts, threshold, kind), shape))
+    grouped = lines.groupBy("entry").agg(
+        F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size"), F.first("prefix").alias("prefix")
     )
-    earliest = held.groupBy("word").agg(F.min(F.struct("first", "entry", "size", "place")).alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    earliest = cut_lineage(
-        earliest.select(
-            "word", F.col("pivot.entry").alias("other"), F.col("pivot.first").alias("other_first"),
-            F.col("pivot.size").alias("other_size"), F.col("pivot.place").alias("other_place"),
-        )
-    )
-    shared = cut_lineage(held.join(earliest, "word"))
-
-    entries = shared.select("entry").distinct()
-    spots = firsts.join(entries, "entry", "left_semi").select("entry", "first.*").withColumn("spot", F.xxhash64(*PLACE))
-    spots = cut_lineage(spots)
-    texts = _texts(rows, _bits(spots, "spot"))
-    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in PLACE]
-    sets = cut_lineage(
-        texts.alias("t").join(spots.alias("s"), [F.col("t.spot") == F.col("s.spot"), *same]).groupBy("s.entry").agg(F.first("t.content").alias("content"))
-    )
-
-    pivots = shared.where((F.col("entry") != F.col("other")) & _possible(threshold)).select("entry", "other").distinct()
-    found = cut_lineage(_similar(pivots, sets, threshold))
-    open_ = shared.join(found, "entry", "left_anti").where(F.col("entry") != F.col("other")).select("word", "entry", "first", "size", "place")
-    holders = shared.select("word", F.col("entry").alias("other"), F.col("first").alias("other_first"), F.col("size").alias("other_size"), F.col("place").alias("other_place"))
-    rest = open_.join(holders, "word").where((F.col("other_first") < F.col("first")) & _possible(threshold)).select("entry", "other").distinct()
-    late = _similar(rest.join(pivots, ["entry", "other"], "left_anti"), sets, threshold)
-    gone = found.unionByName(late).select("entry", F.lit(True).alias("gone"))
+    # Numbers that rise with the place: ranges of places are sorted, and row numbers rise over ranges.
+    ranged = grouped.repartitionByRange("first").sortWithinPartitions("first")
+    entries = _settle(ranged.select(F.monotonically_increasing_id().alias("order"), "*"))
 
-    judged = firsts.join(gone, "entry", "left").where((F.col("n") > 1) | F.col("gone")).select("entry", "first", F.coalesce("gone", F.lit(False)).alias("gone"))
-    return lines.join(judged, "entry").where(F.col("gone") | (place != F.col("first"))).select(*PLACE).distinct()
+    # Most prefix words occur once; those cannot be shared and are not shuffled with their rows.
+    exploded = entries.select("order", "size", F.posexplode("prefix").alias("place", "word")).withColumn("word", F.col("word").cast("long"))
+    often = exploded.groupBy("word").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    held = _tested(exploded, "word", _bits(often, "word"))
+    earliest = held.groupBy("word").agg(F.min(F.struct("order", "size", "place")).alias("pivot"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    earliest = earliest.select("word", F.col("pivot.order").alias("other"), F.col("pivot.size").alias("other_size"), F.col("pivot.place").alias("other_place"))
+    shared = _settle(held.join(earliest, "word"))
+
+    # First the holder with which an entry shares most prefix words.
+    met = shared.where((F.col("order") > F.col("other")) & _possible(threshold)).groupBy("order", "other").agg(F.count(F.lit(1)).alias("m"))
+    pivots = _settle(met.groupBy("order").agg(F.max_by("other", F.struct("m", "other")).alias("other")))
+    sets = _texts(rows, entries.join(shared.select("order").distinct(), "order", "left_semi").select("order", "first.*"))
+    found = _settle(_similar(pivots, sets, threshold))
+    # Then, for those that are left, every earlier holder.
+    open_ = shared.join(found, "order", "left_anti").select("word", "order", "size", "place")
+    holders = shared.select("word", F.col("order").alias("other"), F.col("size").alias("other_size"), F.col("place").alias("other_place"))
+    rest = open_.join(holders, "word").where((F.col("other") < F.col("order")) & _possible(threshold)).select("order", "other").distinct()
+    late = _settle(_similar(rest.join(pivots, ["order", "other"], "left_anti"), sets, threshold))
+
+    gone = found.unionByName(late).select("order", F.lit(True).alias("gone"))
+    judged = entries.select("order", "entry", "first", "n").join(gone, "order", "left").where((F.col("n") > 1) | F.col("gone"))
+    out = lines.select(*PLACE, "entry").join(judged, "entry").where(F.col("gone").isNotNull() | (F.struct(*PLACE) != F.col("first")))
+    return _settle(out.select(*PLACE).distinct())
 
 
 def _arrow(field) -> pa.DataType:
@@ -207,10 +213,12 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
     Every row stays, with an empty text if nothing is left; a null text stays null.
     """
     gone = removed_lines(docs, key, text, threshold).groupBy("doc", "version").agg(F.collect_set("line").alias("lines"))
-    rows = docs.drop("removed_lines").select(F.struct("*").alias("row"), F.col(key).alias("k"), F.xxhash64(text).alias("v"), F.col(text).alias("t"))
-    met = rows.join(gone, (rows["k"].eqNullSafe(gone["doc"])) & (rows["v"] == gone["version"]), "left")
-    kept = F.array_join(F.filter(F.split("t", "\n"), lambda x, i: ~F.array_contains("lines", i)), "\n")
-    return met.select(
-        F.col("row").withField(text, F.when(F.col("lines").isNull(), F.col("t")).otherwise(kept)).alias("row"),
-        F.coalesce(F.size("lines"), F.lit(0)).alias("removed_lines"),
-    ).select("row.*", "removed_lines")
+    rows = docs.drop("removed_lines")
+    met = rows.withColumns({"__key": F.col(key), "__version": F.xxhash64(text)}).join(
+        gone.select(F.col("doc").alias("__doc"), F.col("version").alias("__of"), F.col("lines").alias("__lines")),
+        F.col("__key").eqNullSafe(F.col("__doc")) & (F.col("__version") == F.col("__of")),
+        "left",
+    )
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("__lines", i)), "\n")
+    left = F.when(F.col("__lines").isNull(), F.col(text)).otherwise(kept).alias(text)
+    return met.select(*(left if c == text else rows[c] for c in rows.columns), F.coalesce(F.size("__lines"), F.lit(0)).alias("removed_lines"))
