@@ -29,10 +29,10 @@ from tidemill.llm.files import Written, committed, open_folder, remove, write_ma
 
 SCHEMA = "key long, start long, n_tokens long, ids binary"
 #: A task starts a new file beyond this many bytes, so that reads have partitions of bounded size.
-FILE_BYTES = 32 << 20
+FILE_BYTES = 16 << 20
 BATCH_BYTES = 4 << 20
 #: Words that a task remembers; beyond it the memory is emptied and a word may be encoded again.
-REMEMBERED = 500_000
+REMEMBERED = 350_000
 
 # The reversed CRC-32C polynomial, and the constant of the masked form.
 POLYNOMIAL = 0x82F63B78
@@ -178,30 +178,29 @@ class RecordReader(DataSourceReader):
             raise ValueError(f"index of {partition.name} is damaged")
         offsets = np.frombuffer(data[:-4], "<i8").tolist()
         rows, size = [], 0
-        with system.open_input_file(f"{folder}/{partition.name}") as f:
-            order = list(range(len(offsets) - 1))
-            starts = self._starts(f, offsets, partition.start)
-            if self.seed is not None:
-                random.Random(f"{self.seed} {partition.name}").shuffle(order)
-            for i in order:
-                f.seek(offsets[i])
-                key, ids = deserialize(self._data(f.read(offsets[i + 1] - offsets[i]), crc, partition.name))
-                rows.append((key, starts[i], len(ids), ids.tobytes()))
-                size += 4 * len(ids) + 50
-                if size >= BATCH_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
-                    rows, size = [], 0
+        with system.open_input_stream(f"{folder}/{partition.name}", compression=None) as f:
+            held = f.read()  # a file is no larger than FILE_BYTES and one record
+        order = list(range(len(offsets) - 1))
+        starts = self._starts(held, offsets, partition.start)
+        if self.seed is not None:
+            random.Random(f"{self.seed} {partition.name}").shuffle(order)
+        for i in order:
+            key, ids = deserialize(self._data(held[offsets[i] : offsets[i + 1]], crc, partition.name))
+            rows.append((key, starts[i], len(ids), ids.tobytes()))
+            size += 4 * len(ids) + 50
+            if size >= BATCH_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+                rows, size = [], 0
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
     @staticmethod
-    def _starts(f, offsets: list[int], start: int) -> list[int]:
+    def _starts(held: bytes, offsets: list[int], start: int) -> list[int]:
         """Ids before each record, from the record lengths and flag bytes alone."""
         starts = []
         for at, end in zip(offsets, offsets[1:]):
             starts.append(start)
-            f.seek(at + 12)
-            flags = f.read(1)[0]
+            flags = held[at + 12]
             start += (end - at - 17 - 8 * (flags & 1)) // (4 if flags & 2 else 2)
         return starts
 
@@ -235,30 +234,50 @@ class RecordSource(DataSource):
 WHITE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+# After a run of letters and digits, and before white space, the pattern always ends a
+# token, so these pieces have the ids they have inside the whole text. An underscore is
+# a sign to the pattern but a letter to this module: such texts are cut at white space only.
+# The first branch is the common case of the second.
+PIECES = re.compile(f" ?\\w+|[{WHITE}]*[^\\w{WHITE}]*\\w+|[{WHITE}]*[^\\w{WHITE}]+|[{WHITE}]+")
+CHUNKS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+LETTERS = re.compile(r" ?[^\W\d_]+")
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The printable character that stands for each byte: itself where it is visible, else one from 256 on."""
+    visible = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 256 and b != 173]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 def _tokenizer(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = None
-        # The pattern never joins a blank to what stands before it, so runs of blanks with
-        # the word behind them have the ids they have inside the whole text.
-        cut = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
-        known: dict[str, list[int]] = {}
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
+        merges, alphabet, letters = tokenizer.model.tokenize, byte_alphabet(), LETTERS.fullmatch
+
+        class Known(dict):
+            def __missing__(self, piece: str) -> bytes:
+                if letters(piece):  # one token of the pattern: straight to the merges
+                    ids = [t.id for t in merges(piece.encode().decode("latin-1").translate(alphabet))]
+                else:
+                    ids = tokenizer.encode(piece, add_special_tokens=False).ids
+                self[piece] = found = struct.pack(f"<{len(ids)}I", *ids)
+                return found
+
+        known, end = Known(), struct.pack("<I", end_id)
         for batch in batches:
-            if tokenizer is None:
-                tokenizer = Tokenizer.from_file(path)
-                tokenizer.encode_special_tokens = True
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
-                words = [cut(t or "") for t in part.column(1).to_pylist()]
-                new = list({w for text in words for w in text if w not in known})
-                if len(known) + len(new) > REMEMBERED:
-                    known.clear()
-                    new = list({w for text in words for w in text})
-                for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                    known[w] = e.ids
-                ids = [np.array([i for w in text for i in known[w]] + [end_id], "<u4").tobytes() for text in words]
+                ids = []
+                for text in part.column(1).to_pylist():
+                    pieces = (CHUNKS if "_" in (text or "") else PIECES).findall(text or "")
+                    ids.append(b"".join(map(known.__getitem__, pieces)) + end)
+                    if len(known) >= REMEMBERED:
+                        known.clear()
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["key", "ids"])
 
     return run
