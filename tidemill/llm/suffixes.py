@@ -38,7 +38,7 @@ REACH = LENGTH - GRAM
 UNIT = 25
 #: Contexts sorted together; those of one anchor that has more are dealt out to blocks.
 BLOCK = 4096
-LARGE = 16384
+LARGE = 65536
 #: Bits of the sets that tasks test, whatever the number of members; no member fails the test.
 FILTER_BITS = 24
 
