@@ -71,18 +71,16 @@ def cal_dimension_iso(t: Tables) -> DataFrame:
 
 @query(
     "ts_gap_fill",
-    """WITH s AS (SELECT user_id, CAST(ts AS DATE) AS day, sum(CAST(value AS DECIMAL(18,2))) AS v, count(*) AS n FROM events WHERE event_type = 'purchase' GROUP BY ALL),
-            d AS (SELECT user_id, CAST(unnest(generate_series(min(day), DATE '2024-02-05', INTERVAL 1 DAY)) AS DATE) AS day FROM s GROUP BY 1)
-       SELECT d.user_id, d.day, CAST(last_value(v IGNORE NULLS) OVER w AS DOUBLE) AS v, last_value(n IGNORE NULLS) OVER w AS n
-       FROM d LEFT JOIN s ON d.user_id = s.user_id AND d.day = s.day WINDOW w AS (PARTITION BY d.user_id ORDER BY d.day ROWS UNBOUNDED PRECEDING)""",
+    """WITH s AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day, sum(CAST(value AS DECIMAL(18,2))) AS v, count(*) AS n FROM events GROUP BY ALL),
+            d AS (SELECT user_id, event_type, CAST(unnest(generate_series(min(day), DATE '2024-02-05', INTERVAL 1 DAY)) AS DATE) AS day FROM s GROUP BY 1, 2)
+       SELECT d.user_id, d.event_type, d.day, CAST(last_value(v IGNORE NULLS) OVER w AS DOUBLE) AS v, last_value(n IGNORE NULLS) OVER w AS n
+       FROM d LEFT JOIN s ON d.user_id = s.user_id AND d.event_type = s.event_type AND d.day = s.day WINDOW w AS (PARTITION BY d.user_id, d.event_type ORDER BY d.day ROWS UNBOUNDED PRECEDING)""",
 )
 def gap_fill(t: Tables) -> DataFrame:
-    series = (
-        t.events.where("event_type = 'purchase'")
-        .groupBy("user_id", F.to_date("ts").alias("day"))
-        .agg(dbl(F.sum(money("value"))).alias("v"), F.count("*").alias("n"))
+    series = t.events.groupBy("user_id", "event_type", F.to_date("ts").alias("day")).agg(
+        dbl(F.sum(money("value"))).alias("v"), F.count("*").alias("n")
     )
-    return cal.fill_gaps(series, "day", ["user_id"], ["v", "n"], "2024-02-05")
+    return cal.fill_gaps(series, "day", ["user_id", "event_type"], ["v", "n"], "2024-02-05")
 
 
 @query(

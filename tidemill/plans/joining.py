@@ -41,11 +41,12 @@ def join_inner_expr(t: Tables) -> DataFrame:
 @query(
     "join_star_left",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, p_brand, p_type, s_name, n_name
-       FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size <= 40) ON l_partkey = p_partkey
+       FROM lineitem LEFT JOIN part ON l_partkey = CASE WHEN p_partkey % 11 <> 0 THEN p_partkey END
        LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey""",
 )
 def join_star_left(t: Tables) -> DataFrame:
-    part = t.part.where("p_size <= 40").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type")
+    # Every eleventh part has no key, so lines miss it.
+    part = t.part.select(F.when(F.col("p_partkey") % 11 != 0, F.col("p_partkey")).alias("l_partkey"), "p_brand", "p_type")
     supplier = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name", F.col("s_nationkey").alias("n_nationkey"))
     nation = t.nation.select("n_nationkey", "n_name")
     facts = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
@@ -80,15 +81,10 @@ def join_multi_key(t: Tables) -> DataFrame:
 @query(
     "join_left_coalesce",
     """SELECT c_custkey, c_name, coalesce(CAST(s AS DOUBLE), 0.0) AS total_spend
-       FROM customer LEFT JOIN (SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS s FROM orders
-                                WHERE o_orderdate >= DATE '2001-01-01' GROUP BY 1) ON c_custkey = o_custkey""",
+       FROM customer LEFT JOIN (SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS s FROM orders GROUP BY 1) ON c_custkey = o_custkey""",
 )
 def join_left_coalesce(t: Tables) -> DataFrame:
-    spend = (
-        t.orders.where(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
-        .groupBy(F.col("o_custkey").alias("c_custkey"))
-        .agg(dbl(F.sum(money("o_totalprice"))).alias("s"))
-    )
+    spend = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(dbl(F.sum(money("o_totalprice"))).alias("s"))
     return t.customer.join(spend, "c_custkey", "left").select(
         "c_custkey", "c_name", F.coalesce("s", F.lit(0.0)).alias("total_spend")
     )
@@ -96,17 +92,19 @@ def join_left_coalesce(t: Tables) -> DataFrame:
 
 @query(
     "join_full_outer",
-    """WITH f AS (SELECT o_custkey AS k, count(*) AS n_1999 FROM orders WHERE year(o_orderdate) = 1999 AND o_orderstatus = 'F' GROUP BY 1),
-            s AS (SELECT o_custkey AS k, count(*) AS n_2000 FROM orders WHERE year(o_orderdate) = 2000 AND o_orderstatus = 'F' GROUP BY 1)
-       SELECT coalesce(f.k, s.k) AS custkey, coalesce(n_1999, 0) AS n_1999, coalesce(n_2000, 0) AS n_2000
+    """WITH f AS (SELECT o_custkey AS k, count(*) AS n_before FROM orders WHERE o_orderdate < DATE '2000-01-01' GROUP BY 1),
+            s AS (SELECT o_custkey AS k, count(*) AS n_since FROM orders WHERE o_orderdate >= DATE '2000-01-01' GROUP BY 1)
+       SELECT coalesce(f.k, s.k) AS custkey, coalesce(n_before, 0) AS n_before, coalesce(n_since, 0) AS n_since
        FROM f FULL JOIN s ON f.k = s.k""",
 )
 def join_full_outer(t: Tables) -> DataFrame:
-    def year_counts(year: int) -> DataFrame:
-        mine = t.orders.where((F.year("o_orderdate") == year) & (F.col("o_orderstatus") == "F"))
-        return mine.groupBy(F.col("o_custkey").alias("custkey")).agg(F.count("*").alias(f"n_{year}"))
+    turn = F.lit("2000-01-01").cast("timestamp_ntz")
+
+    def counts(test: Column, name: str) -> DataFrame:
+        return t.orders.where(test).groupBy(F.col("o_custkey").alias("custkey")).agg(F.count("*").alias(name))
 
-    return joins.full_outer(year_counts(1999), year_counts(2000), ["custkey"], {"n_1999": 0, "n_2000": 0})
+    early, late = counts(F.col("o_orderdate") < turn, "n_before"), counts(F.col("o_orderdate") >= turn, "n_since")
+    return joins.full_outer(early, late, ["custkey"], {"n_before": 0, "n_since": 0})
 
 
 @query(
@@ -124,12 +122,15 @@ def join_anti(t: Tables) -> DataFrame:
 
 @query(
     "dq_orphans",
-    """SELECT o_orderkey, o_custkey FROM orders LEFT JOIN (SELECT c_custkey FROM customer WHERE c_acctbal >= 1000) ON o_custkey = c_custkey
-       WHERE c_custkey IS NULL""",
+    """SELECT o_orderkey, o_custkey FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN -o_custkey ELSE o_custkey END AS o_custkey FROM orders)
+       LEFT JOIN customer ON o_custkey = c_custkey WHERE c_custkey IS NULL""",
 )
 def dq_orphans(t: Tables) -> DataFrame:
-    known = t.customer.where("c_acctbal >= 1000").select(F.col("c_custkey").alias("o_custkey"))
-    return t.orders.join(known, "o_custkey", "left_anti").select("o_orderkey", "o_custkey")
+    known = t.customer.select(F.col("c_custkey").alias("o_custkey"))
+    # Every thirteenth order names a customer that does not exist.
+    orphan = F.col("o_orderkey") % 13 == 0
+    orders = t.orders.select("o_orderkey", F.when(orphan, -F.col("o_custkey")).otherwise(F.col("o_custkey")).alias("o_custkey"))
+    return orders.join(known, "o_custkey", "left_anti").select("o_orderkey", "o_custkey")
 
 
 @query(
@@ -158,14 +159,15 @@ def join_semi(t: Tables) -> DataFrame:
 
 @query(
     "join_prefer_source",
-    """WITH a AS (SELECT p_brand AS brand, p_partkey, 'A' AS src FROM part WHERE p_type = 'ECONOMY' AND p_size > 45),
-            b AS (SELECT p_brand AS brand, p_partkey, 'B' AS src FROM part WHERE p_type <> 'ECONOMY' AND p_size > 5)
+    """WITH p AS (SELECT p_brand || '/' || p_size AS brand, p_partkey, p_type FROM part),
+            a AS (SELECT brand, p_partkey, 'A' AS src FROM p WHERE p_type = 'ECONOMY'),
+            b AS (SELECT brand, p_partkey, 'B' AS src FROM p WHERE p_type <> 'ECONOMY')
        SELECT * FROM a UNION ALL SELECT * FROM b WHERE brand NOT IN (SELECT brand FROM a)""",
 )
 def join_prefer_source(t: Tables) -> DataFrame:
-    rows = t.part.select(F.col("p_brand").alias("brand"), "p_partkey", "p_type", "p_size")
-    first = rows.where("p_type = 'ECONOMY' AND p_size > 45").select("brand", "p_partkey", F.lit("A").alias("src"))
-    second = rows.where("p_type <> 'ECONOMY' AND p_size > 5").select("brand", "p_partkey", F.lit("B").alias("src"))
+    rows = t.part.select(F.concat_ws("/", "p_brand", "p_size").alias("brand"), "p_partkey", "p_type")
+    first = rows.where("p_type = 'ECONOMY'").select("brand", "p_partkey", F.lit("A").alias("src"))
+    second = rows.where("p_type <> 'ECONOMY'").select("brand", "p_partkey", F.lit("B").alias("src"))
     return joins.prefer(first, second, ["brand"])
 
 
@@ -246,13 +248,13 @@ def user_days(t: Tables) -> DataFrame:
 
 
 def order_windows(t: Tables) -> DataFrame:
-    """One window per order day of 2001: three hours of January 2024 on per day, one to seven hours long.
+    """One window per order day: three hours on per day, counted from January 2024 and 2001, one to seven hours long.
 
     There are as many windows as order days, however many orders or events
     there are, so the pairs grow with the events alone.
     """
     day = F.datediff(F.to_date("o_orderdate"), F.lit("2001-01-01").cast("date"))
-    days = t.orders.where(F.year("o_orderdate") == 2001).groupBy(day.alias("day_no")).agg(F.count("*").alias("n_orders"))
+    days = t.orders.groupBy(day.alias("day_no")).agg(F.count("*").alias("n_orders"))
     start = F.lit(JANUARY) + F.col("day_no") * (3 * HOUR)
     return days.select(
         "day_no", "n_orders", start.alias("w_begin"), (start + (F.col("n_orders") % 7 + 1) * HOUR).alias("w_end")
@@ -260,7 +262,7 @@ def order_windows(t: Tables) -> DataFrame:
 
 
 WINDOWS_SQL = """(SELECT *, TIMESTAMP '2024-01-01' + to_hours(day_no * 3) AS wb, TIMESTAMP '2024-01-01' + to_hours(day_no * 3 + n_orders % 7 + 1) AS we
-    FROM (SELECT CAST(date_diff('day', DATE '2001-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS day_no, count(*) AS n_orders FROM orders WHERE year(o_orderdate) = 2001 GROUP BY 1))"""
+    FROM (SELECT CAST(date_diff('day', DATE '2001-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS day_no, count(*) AS n_orders FROM orders GROUP BY 1))"""
 
 
 @query(

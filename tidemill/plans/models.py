@@ -29,11 +29,11 @@ MODEL = models.logistic({"n_chars": -0.0005, "n_lines": 0.04, "is_en": 0.8}, -0.
 @query(
     "ml_batch_score",
     """WITH f AS (SELECT d.doc_id, quality, n_chars, length(text) - length(replace(text, chr(10), '')) + 1 AS n_lines, CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS is_en
-                  FROM documents d JOIN labels l ON d.doc_id = l.doc_id)
+                  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
        SELECT doc_id, quality, CAST(round(CAST(1 / (1 + exp(-(n_chars * -0.0005 + n_lines * 0.04 + is_en * 0.8 - 0.2))) AS DECIMAL(24,8)), 6) AS DOUBLE) AS probability FROM f""",
 )
 def batch_score(t: Tables) -> DataFrame:
-    rows = t.wide("documents", "doc_id", "n_chars", "text", "lang").join(t.labels, "doc_id").select(
+    rows = t.wide("documents", "doc_id", "n_chars", "text", "lang").join(t.labels, "doc_id", "left").select(
         "doc_id",
         "quality",
         "n_chars",
