@@ -20,9 +20,7 @@ def frame(n, hot, seed):
 @pytest.mark.parametrize("descending", [False, True])
 @pytest.mark.parametrize("hot", [0.0, 0.4, 1.0])
 @pytest.mark.parametrize("settle", [False, True])
-def test_order_stats_equals_pandas(spark, descending, hot, settle, monkeypatch):
-    if hot == 0.4:
-        monkeypatch.setattr(ordered, "SMALL", 0)
+def test_order_stats_equals_pandas(spark, descending, hot, settle):
     pdf = frame(700, hot, 3)
     df = spark.createDataFrame(pdf.astype({"x": object}).where(pdf.notna(), None), "id long, k string, x double, w long")
     got = ordered.order_stats(
@@ -58,3 +56,23 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "id long, x double")
     assert ordered.order_stats(df, "x", tie="id", row_number="rn").count() == 0
     assert ordered.exact_quantiles(df, "x", {"a": 0.5}).first().a is None
+
+
+@pytest.mark.parametrize("hot", [0.0, 0.9])
+def test_ranks_without_tie(spark, hot):
+    pdf = frame(600, hot, 9)
+    df = spark.createDataFrame(pdf.astype({"x": object}).where(pdf.notna(), None), "id long, k string, x double, w long")
+    got = ordered.order_stats(df, "x", rank="rk", dense_rank="dr", n=6).toPandas().sort_values("id").reset_index(drop=True)
+    x = pdf.x.fillna(np.inf)
+    assert got.rk.tolist() == x.rank(method="min").astype(int).tolist()
+    assert got.dr.tolist() == x.rank(method="dense").astype(int).tolist()
+    if hot:  # the frequent value is dealt over several parts
+        assert ordered.cut_ranges(df, "x", n=6, spread=True).df.where("x = 7").select("__part").distinct().count() > 2
+
+
+def test_row_number_over_text(spark):
+    names = ["src/b.py", "src/a.py", None, "src/a/é.py", "src/ab", "src/", "src/zz" * 3, "src/é"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = ordered.order_stats(df, "name", tie="name", row_number="rn", n=4, settle=True).collect()
+    want = sorted((n for n in names if n is not None), key=str.encode)
+    assert [r.name for r in sorted(got, key=lambda r: r.rn)] == [*want, None]

@@ -21,9 +21,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemill.functions.columns import position
 from tidemill.session import cut_lineage, parallelism
 
-# One task sorts this many rows in about a second.
-SMALL = 200_000
-
 _POS, _TIE, _RANGE, _PART, _KEY = "__pos", "__tie", "__range", "__part", "__key"
 
 
@@ -53,19 +50,36 @@ def _cuts(df: DataFrame, n: int) -> tuple[list[float], list[float], list[float]]
     return sorted(set(points)), frequent, ties
 
 
+def _text_position(df: DataFrame, column: str) -> Column:
+    """A double that grows with a text: its first six bytes behind what all texts begin with."""
+    ends = df.agg(F.min(column).alias("a"), F.max(column).alias("b")).first()
+    low, high = ((t or "").encode() for t in (ends["a"], ends["b"]))
+    shared = next((i for i, (x, y) in enumerate(zip(low, high)) if x != y), min(len(low), len(high)))
+    digits = F.rpad(F.substring(F.hex(F.col(column)), 2 * shared + 1, 12), 12, "0")
+    return F.coalesce(F.conv(digits, 16, 10).cast("double"), F.lit(float("inf")))
+
+
 def cut_ranges(
-    df: DataFrame, by: str, descending: bool = False, tie: str | None = None, n: int | None = None
+    df: DataFrame, by: str, descending: bool = False, tie: str | None = None, n: int | None = None, spread: bool = False
 ) -> Ranges:
-    """Add ``__range`` and ``__part``; (range, part) grows with (by, tie)."""
+    """Add ``__range`` and ``__part``; (range, part) grows with (by, tie).
+
+    Without ``tie``, ``spread`` deals the rows of a frequent value over the parts by
+    their hash: enough where rows of one value need no order among themselves.
+    """
     n = n or parallelism(df.sparkSession)
     types = dict(df.dtypes)
-    pos = position(by, types[by])
+    text = types[by] == "string"
+    pos = _text_position(df, by) if text else position(by, types[by])
     if descending:
         pos = F.when(F.col(by).isNull(), F.lit(float("inf"))).otherwise(-pos)
     df = df.withColumn(_POS, pos)
     if tie:
-        df = df.withColumn(_TIE, position(tie, types[tie]))
+        place = _text_position(df, tie) if types[tie] == "string" else position(tie, types[tie])
+        df = df.withColumn(_TIE, place)
     points, frequent, ties = _cuts(df, n)
+    if text:  # texts that share a position may differ, so they stay in one part
+        frequent = []
     splits = sorted(set(points) | {math.nextafter(f, math.inf) for f in frequent}) or [0.0]
     df = Bucketizer(
         splits=[-math.inf, *splits, math.inf], inputCol=_POS, outputCol=_RANGE, handleInvalid="keep"
@@ -75,28 +89,14 @@ def cut_ranges(
             splits=[-math.inf, *ties, math.inf], inputCol=_TIE, outputCol=_PART, handleInvalid="keep"
         ).transform(df)
         df = df.withColumn(_PART, F.when(F.col(_POS).isin(frequent), F.col(_PART)).otherwise(0.0))
+    elif frequent and spread and not tie:
+        row = F.pmod(F.xxhash64(*[c for c in df.columns if c not in (_POS, _RANGE)]), F.lit(n)).cast("double")
+        df = df.withColumn(_PART, F.when(F.col(_POS).isin(frequent), row).otherwise(0.0))
     else:
         df = df.withColumn(_PART, F.lit(0.0))
     return Ranges(df.drop(_POS, _TIE), by, descending, tie)
 
 
-def _plain_stats(df, by, keys, descending, tie, row_number, rank, dense_rank, running) -> DataFrame:
-    """The same by ordinary windows, for an input whose row count is known to be small."""
-    first = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_last()
-    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    total = group.orderBy(first, *([F.col(tie)] if tie else []))
-    steps = {}
-    if row_number:
-        steps[row_number] = F.row_number().over(total)
-    if rank:
-        steps[rank] = F.rank().over(group.orderBy(first))
-    if dense_rank:
-        steps[dense_rank] = F.dense_rank().over(group.orderBy(first))
-    for out, source in running.items():
-        steps[out] = F.sum(source).over(total.rowsBetween(Window.unboundedPreceding, 0))
-    return df.withColumns(steps)
-
-
 def order_stats(
     df: DataFrame,
     by: str,
@@ -119,15 +119,12 @@ def order_stats(
 
     The input is read three times: for the cut points, for the counts per range
     and for the ranges. ``settle`` writes it down first, which pays when it is
-    more than a scan; its row count is then known, and up to ``SMALL`` rows
-    are ordered by a plain window.
+    more than a scan.
     """
     keys, running = keys or [], running or {}
     if settle:
         df = cut_lineage(df)
-        if df.count() <= SMALL:
-            return _plain_stats(df, by, keys, descending, tie, row_number, rank, dense_rank, running)
-    cut = cut_ranges(df, by, descending, tie, n)
+    cut = cut_ranges(df, by, descending, tie, n, spread=not (row_number or running))
     data = cut.df.withColumn(_KEY, F.struct(*keys) if keys else F.lit(0))
 
     local = Window.partitionBy(_KEY, _RANGE, _PART).orderBy(*cut.order)
