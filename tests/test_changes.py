@@ -74,3 +74,13 @@ def test_key_columns():
     assert reconcile.key_columns({}, "out", ["x", "y"]) == ["x"]
     assert reconcile.schema_difference(["A", "b"], ["a", "B"]) == []
     assert reconcile.schema_difference(["b", "a"], ["a", "b"]) != []
+
+
+def test_upsert_does_not_shuffle_the_target(spark):
+    target = spark.range(1000).selectExpr("id AS k", "id AS v")
+    batch = spark.createDataFrame([(5, -5), (2000, 7)], "k long, v long")
+    out = cdc.upsert(target, F.broadcast(batch), ["k"])
+    rows = {r.k: r.v for r in out.collect()}
+    assert rows[5] == -5 and rows[2000] == 7 and rows[6] == 6 and len(rows) == 1001
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "FullOuter" not in plan and "LeftAnti" in plan

@@ -65,3 +65,9 @@ def test_fuzzy_finds_every_pair_within_one_edit(spark):
         return row[-1]
 
     assert got == {(a, b) for a in names for b in names if edits(a, b) <= 1}
+
+
+def test_network_without_a_length_holds_no_host(spark):
+    hosts = spark.createDataFrame([("10.0.0.1",), (None,), ("x",)], "host string")
+    nets = spark.createDataFrame([("10.0.0.0", 8), ("10.0.0.0", None), ("10.0.0.0", 40)], "net string, bits int")
+    assert [tuple(r) for r in ranges.network_join(hosts, nets, "host", "net", "bits").collect()] == [("10.0.0.1", "10.0.0.0", 8)]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -40,10 +40,11 @@ def ancestor(path: Column, up: int) -> Column:
     return F.when(n < up, F.lit(None)).when(n == up, F.lit("/")).otherwise(higher)
 
 
-def hierarchy_rollup(df: DataFrame, path: str, measures: dict[str, Column]) -> DataFrame:
-    """Measures summed for every path and all its ancestors.
+def hierarchy_rollup(df: DataFrame, path: str, measures: dict[str, Column], merge: dict[str, Callable] | None = None) -> DataFrame:
+    """Measures for every path and all its ancestors.
 
-    Leaves are summed first, so a path is expanded once per leaf and not once per row.
+    ``merge`` says how a measure of leaves becomes that of an ancestor, such as
+    ``F.max``; sums and counts, which need no entry, are added up. Leaves are summed first, so a path is expanded once per leaf and not once per row.
     """
     leaves = df.groupBy(path).agg(*[m.alias(n) for n, m in measures.items()])
     names = F.filter(F.split(F.col(path), "/"), lambda p: p != "")
@@ -52,7 +53,7 @@ def hierarchy_rollup(df: DataFrame, path: str, measures: dict[str, Column]) -> D
         lambda k: F.concat(F.lit("/"), F.array_join(F.slice(names, F.lit(1), k), "/"), F.lit("/")),
     )
     each = leaves.withColumn("__path", F.explode(F.concat(F.array(F.lit("/")), above)))
-    return each.groupBy(F.col("__path").alias(path)).agg(*[F.sum(n).alias(n) for n in measures])
+    return each.groupBy(F.col("__path").alias(path)).agg(*[(merge or {}).get(n, F.sum)(n).alias(n) for n in measures])
 
 
 @dataclass(frozen=True)

@@ -19,11 +19,15 @@ def pivot_sum(df: DataFrame, keys: Sequence[str], column: str, values: Sequence[
 def pivot_table(df: DataFrame, keys: Sequence[str], column: str, aggregates: dict[str, Column], values: Sequence[str] | None = None) -> DataFrame:
     """Pivot with one column per (metric, value), named ``metric_value``.
 
-    Without ``values`` a distinct pass finds them; their number is the number
-    of output columns, so it is small by nature.
+    Without ``values`` a distinct pass finds them. More than
+    ``spark.sql.pivotMaxValues`` of them are an error, as for Spark's own pivot.
     """
     if values is None:
-        values = sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
+        most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
+        found = df.select(column).where(F.col(column).isNotNull()).distinct().take(most + 1)
+        if len(found) > most:
+            raise ValueError(f"{column} has more than {most} values; name those that are wanted")
+        values = sorted(r[0] for r in found)
     wide = df.groupBy(*keys).pivot(column, list(values)).agg(*[a.alias(m) for m, a in aggregates.items()])
     one = len(aggregates) == 1
     return wide.select(

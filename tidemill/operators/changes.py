@@ -94,14 +94,12 @@ def classify(source: DataFrame, target: DataFrame, keys: Sequence[str], with_del
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target with the batch laid over it: batch rows win, all other rows stay (SCD type 1).
 
-    The batch must have one row per key. Where the table format has MERGE, use
-    that; on plain files write the result as a new version.
+    The batch must have one row per key. The anti join sees only the batch's keys, so
+    a small batch is broadcast and the target is not shuffled. Where the table format
+    has MERGE, use that; on plain files write the result as a new version.
     """
-    rest = [c for c in target.columns if c not in keys]
-    old = target.select(*keys, F.struct(*rest).alias("__old"))
-    new = batch.select(*keys, F.struct(*rest).alias("__new"))
-    merged = old.join(new, list(keys), "full").withColumn("__row", F.coalesce("__new", "__old"))
-    return merged.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*target.columns)
+    kept = target.join(batch.select(*keys), list(keys), "left_anti").select(*target.columns)
+    return kept.unionByName(batch.select(*target.columns))
 
 
 def scd2_open(df: DataFrame, as_of: str) -> DataFrame:
@@ -155,8 +153,11 @@ def replace_window(target: DataFrame, batch: DataFrame, column: str, start: obje
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
-    """Replace exactly the partitions the frame has; the others are not read or written."""
-    df.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    """Replace exactly the partitions the frame has; the others are not read or written.
+
+    Rows of a partition value go together into tasks of even size, so a large value has several.
+    """
+    df.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         partition
     ).parquet(path)
 

@@ -114,7 +114,9 @@ def network_join(hosts: DataFrame, networks: DataFrame, address: str, network: s
     """Hosts with every network that contains them: an equi-join per prefix length.
 
     There are at most 33 prefix lengths; only those in use multiply the hosts.
+    Networks without a length from 0 to 32 hold no host.
     """
+    networks = networks.where(F.col(bits).between(0, 32))
     lengths = [r[0] for r in networks.select(bits).distinct().collect()]
     masked = F.transform(
         F.array(*[F.struct(F.lit(n).alias("bits"), F.lit(2**32 - 2 ** (32 - n)).alias("mask")) for n in lengths]),
