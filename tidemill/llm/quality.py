@@ -133,13 +133,13 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
     flagged = ratios.select("*", *compile_rules(rules))
     failed = reduce(or_, (F.col(f"fails_{rule.name}") for rule in rules), F.col("base_failed"))
     measures = [c for c in flagged.columns if c != "__row"]
-    return flagged.select("__row.*", F.struct(*measures, (~failed).alias("kept")).alias("quality"))
+    # The row number keeps the optimizer from moving a filter on the verdict below the
+    # measures, where it would be a copy of them all.
+    kept = ~failed & (F.monotonically_increasing_id() >= 0)
+    return flagged.select("__row.*", F.struct(*measures, kept.alias("kept")).alias("quality"))
 
 
 def quality_filter(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns unchanged."""
-    # The row number keeps the optimizer from moving the filter below the measures, where
-    # it would be a copy of them all.
-    here = F.monotonically_increasing_id() >= 0
-    judged = judge(docs, text, rules).select(F.struct(*docs.columns).alias("row"), (F.col("quality.kept") & here).alias("keep"))
-    return judged.where("keep").select("row.*")
+    packed = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    return judge(packed, "text", rules).where("quality.kept").select("row.*")
