@@ -13,7 +13,6 @@ without a witness meet all earlier holders.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,6 +21,7 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemill.llm.scratch import drop_tables, short_lived_shuffles
 from tidemill.session import cut_lineage
 
 SIMILARITY = 0.8
@@ -44,14 +44,6 @@ def frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
     return out
 
 
-def _settle(df: DataFrame) -> DataFrame:
-    """Writes the rows down, and lets Spark drop the shuffle files of the steps before: they go when the driver collects garbage."""
-    out = cut_lineage(df)
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return out
-
-
 def _mix(h: np.ndarray, factor: int) -> np.ndarray:
     h = (h ^ (h >> np.uint64(29))) * np.uint64(factor)
     return h ^ (h >> np.uint64(32))
@@ -118,13 +110,15 @@ def _tested(rows: DataFrame, column: str, bits: Broadcast) -> DataFrame:
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows (order, content) for the places (order, doc, version, line) of ``wanted``."""
-    wanted = _settle(wanted.withColumn("spot", F.xxhash64(*PLACE)))
+    wanted = cut_lineage(wanted.withColumn("spot", F.xxhash64(*PLACE)))
     cut = docs.select("doc", "version", F.posexplode(F.split("text", "\n")).alias("line", "content"))
     near = _tested(cut.select(F.xxhash64(*PLACE).alias("spot"), *PLACE, "content"), "spot", _bits(wanted, "spot"))
     same = [F.col(f"t.{c}").eqNullSafe(F.col(f"w.{c}")) for c in PLACE]
     met = near.alias("t").join(wanted.alias("w"), [F.col("t.spot") == F.col("w.spot"), *same])
     # Rows with equal key and text give a line more than once.
-    return _settle(met.select("w.order", "t.content").dropDuplicates(["order"]))
+    out = cut_lineage(met.select("w.order", "t.content").dropDuplicates(["order"]))
+    drop_tables(wanted)
+    return out
 
 
 def _possible(t: float) -> Column:
@@ -160,6 +154,11 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     removed. Rows with equal key and text count as one document. Null and empty texts
     and empty tables give no rows. Identities of word sets are 64-bit hashes.
     """
+    with short_lived_shuffles(docs.sparkSession):
+        return _removed(docs, key, text, threshold)
+
+
+def _removed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
     spark = docs.sparkSession
     field = docs.select(key).schema[0].dataType.simpleString()
     rows = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
@@ -167,13 +166,13 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     counts = spark.sparkContext.broadcast(frequencies(rows))
     kind = _arrow(docs.select(key).schema[0].dataType)
     shape = f"doc {field}, version long, line int, entry long, size int, prefix array<int>"
-    lines = _settle(rows.mapInArrow(_cut(counts, threshold, kind), shape))
+    lines = cut_lineage(rows.mapInArrow(_cut(counts, threshold, kind), shape))
     grouped = lines.groupBy("entry").agg(
         F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size"), F.first("prefix").alias("prefix")
     )
     # Numbers that rise with the place: ranges of places are sorted, and row numbers rise over ranges.
     ranged = grouped.repartitionByRange("first").sortWithinPartitions("first")
-    entries = _settle(ranged.select(F.monotonically_increasing_id().alias("order"), "*"))
+    entries = cut_lineage(ranged.select(F.monotonically_increasing_id().alias("order"), "*"))
 
     # Most prefix words occur once; those cannot be shared and are not shuffled with their rows.
     exploded = entries.select("order", "size", F.posexplode("prefix").alias("place", "word")).withColumn("word", F.col("word").cast("long"))
@@ -181,23 +180,25 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     held = _tested(exploded, "word", _bits(often, "word"))
     earliest = held.groupBy("word").agg(F.min(F.struct("order", "size", "place")).alias("pivot"), F.count(F.lit(1)).alias("m")).where("m > 1")
     earliest = earliest.select("word", F.col("pivot.order").alias("other"), F.col("pivot.size").alias("other_size"), F.col("pivot.place").alias("other_place"))
-    shared = _settle(held.join(earliest, "word"))
+    shared = cut_lineage(held.join(earliest, "word"))
 
     # First the holder with which an entry shares most prefix words.
     met = shared.where((F.col("order") > F.col("other")) & _possible(threshold)).groupBy("order", "other").agg(F.count(F.lit(1)).alias("m"))
-    pivots = _settle(met.groupBy("order").agg(F.max_by("other", F.struct("m", "other")).alias("other")))
+    pivots = cut_lineage(met.groupBy("order").agg(F.max_by("other", F.struct("m", "other")).alias("other")))
     sets = _texts(rows, entries.join(shared.select("order").distinct(), "order", "left_semi").select("order", "first.*"))
-    found = _settle(_similar(pivots, sets, threshold))
+    found = cut_lineage(_similar(pivots, sets, threshold))
     # Then, for those that are left, every earlier holder.
     open_ = shared.join(found, "order", "left_anti").select("word", "order", "size", "place")
     holders = shared.select("word", F.col("order").alias("other"), F.col("size").alias("other_size"), F.col("place").alias("other_place"))
     rest = open_.join(holders, "word").where((F.col("other") < F.col("order")) & _possible(threshold)).select("order", "other").distinct()
-    late = _settle(_similar(rest.join(pivots, ["order", "other"], "left_anti"), sets, threshold))
+    late = cut_lineage(_similar(rest.join(pivots, ["order", "other"], "left_anti"), sets, threshold))
 
     gone = found.unionByName(late).select("order", F.lit(True).alias("gone"))
     judged = entries.select("order", "entry", "first", "n").join(gone, "order", "left").where((F.col("n") > 1) | F.col("gone"))
     out = lines.select(*PLACE, "entry").join(judged, "entry").where(F.col("gone").isNotNull() | (F.struct(*PLACE) != F.col("first")))
-    return _settle(out.select(*PLACE).distinct())
+    result = cut_lineage(out.select(*PLACE).distinct())
+    drop_tables(lines, entries, shared, pivots, sets, found, late)
+    return result
 
 
 def _arrow(field) -> pa.DataType:
