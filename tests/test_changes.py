@@ -84,3 +84,18 @@ def test_upsert_does_not_shuffle_the_target(spark):
     assert rows[5] == -5 and rows[2000] == 7 and rows[6] == 6 and len(rows) == 1001
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "FullOuter" not in plan and "LeftAnti" in plan
+
+
+def test_row_hash_tells_separators_and_nulls_apart(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("\\N", "c"), (None, "c"), ("a\\", "b"), ("a", "\\b")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(cdc.row_hash(["x", "y"]).alias("h")).distinct().count() == len(rows)
+
+
+def test_both_forms_of_a_linear_model_agree(spark):
+    from tidemill.operators import models
+
+    df = spark.createDataFrame([(1.0, 2.0), (None, 0.5), (-3.0, None)], "a double, b double")
+    model = models.logistic({"a": 0.3, "b": -1.2}, 0.4)
+    both = models.score_native(models.score(df, model, "p"), model, "q").collect()
+    assert all(abs(r.p - r.q) < 1e-12 for r in both)

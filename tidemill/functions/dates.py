@@ -92,11 +92,6 @@ def julian_day(date: Column) -> Column:
     return F.unix_date(date) + UNIX_EPOCH_JULIAN_DAY
 
 
-def month_end_before(date: Column, months: int) -> Column:
-    """Last day of the month that lies ``months`` before the date."""
-    return F.last_day(F.add_months(date, -months))
-
-
 def business_days(start: Column, end: Column, holidays: Sequence[str] = ()) -> Column:
     """Weekdays in [start, end) without a loop: whole weeks and a rest on either side.
 

@@ -18,14 +18,16 @@ NULL_MARK = "\\N"
 def row_hash(columns: Sequence[str], legacy: bool = False) -> Column:
     """SHA-256 of the values in the order of the lower-cased names.
 
-    By default a null has its own mark and the result is the 32-byte digest.
+    By default a null has its own mark, which no value can give because ``|`` and
+    the backslash are escaped in values, and the result is the 32-byte digest.
     ``legacy`` skips nulls and gives the hex text as bytes, as older tables
     hold it; there ``(a, null)`` and ``(null, a)`` collide.
     """
     texts = [F.col(c).cast("string") for c in sorted(columns, key=str.lower)]
     if legacy:
         return F.sha2(F.concat_ws("|", *texts), 256).cast("binary")
-    return F.unhex(F.sha2(F.concat_ws("|", *[F.coalesce(t, F.lit(NULL_MARK)) for t in texts]), 256))
+    escaped = [F.replace(F.replace(t, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")) for t in texts]
+    return F.unhex(F.sha2(F.concat_ws("|", *[F.coalesce(t, F.lit(NULL_MARK)) for t in escaped]), 256))
 
 
 def _hash_or_null(columns: Sequence[str], legacy: bool) -> Column:

@@ -40,7 +40,7 @@ def batch_score(t: Tables) -> DataFrame:
         F.size(F.split("text", "\n")).alias("n_lines"),
         (F.col("lang") == "en").cast("int").alias("is_en"),
     )
-    return models.score(rows, MODEL).select("doc_id", "quality", rounded("probability", 6).alias("probability"))
+    return models.score_native(rows, MODEL).select("doc_id", "quality", rounded("probability", 6).alias("probability"))
 
 
 def leads_of(t: Tables) -> DataFrame:
