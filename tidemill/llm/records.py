@@ -32,7 +32,7 @@ SCHEMA = "key long, start long, n_tokens long, ids binary"
 FILE_BYTES = 16 << 20
 BATCH_BYTES = 4 << 20
 #: Words that a task remembers; beyond it the memory is emptied and a word may be encoded again.
-REMEMBERED = 350_000
+REMEMBERED = 250_000
 
 # The reversed CRC-32C polynomial, and the constant of the masked form.
 POLYNOMIAL = 0x82F63B78
@@ -250,6 +250,22 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class Known(dict):
+    """Pieces of text to the bytes of their ids. Not part of a reference cycle, so it goes with its task."""
+
+    def __init__(self, tokenizer) -> None:
+        super().__init__()
+        self.tokenizer, self.merges, self.alphabet = tokenizer, tokenizer.model, byte_alphabet()
+
+    def __missing__(self, piece: str) -> bytes:
+        if LETTERS.fullmatch(piece):  # one token of the pattern: straight to the merges
+            ids = [t.id for t in self.merges.tokenize(piece.encode().decode("latin-1").translate(self.alphabet))]
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        self[piece] = found = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+
 def _tokenizer(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -257,18 +273,7 @@ def _tokenizer(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], I
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
-        merges, alphabet, letters = tokenizer.model.tokenize, byte_alphabet(), LETTERS.fullmatch
-
-        class Known(dict):
-            def __missing__(self, piece: str) -> bytes:
-                if letters(piece):  # one token of the pattern: straight to the merges
-                    ids = [t.id for t in merges(piece.encode().decode("latin-1").translate(alphabet))]
-                else:
-                    ids = tokenizer.encode(piece, add_special_tokens=False).ids
-                self[piece] = found = struct.pack(f"<{len(ids)}I", *ids)
-                return found
-
-        known, end = Known(), struct.pack("<I", end_id)
+        known, end = Known(tokenizer), struct.pack("<I", end_id)
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
