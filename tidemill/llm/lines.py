@@ -1,8 +1,8 @@
 """Line deduplication as an exact set-similarity join.
 
 A line is the set of its words, ordered by rarity. Two sets with Jaccard similarity t
-or more share a word in their prefixes, have similar sizes, and the shared word stands
-early enough in both. An equality join on prefix words under these filters gives
+or more share two words in their prefixes, have similar sizes, and the shared words
+stand early enough in both. An equality join on prefix words under these filters gives
 candidates, and the similarity is computed from the sets.
 
 A line goes when an earlier line is similar, so one witness is enough. Lines with
@@ -44,6 +44,14 @@ def frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
     return out
 
 
+def _shared(threshold: float) -> int:
+    """Words that the prefixes of two similar sets share at least; a prefix is one longer for the second.
+
+    Different sets with one common word have a similarity of a half at most.
+    """
+    return 2 if threshold > 0.5 else 1
+
+
 def _mix(h: np.ndarray, factor: int) -> np.ndarray:
     h = (h ^ (h >> np.uint64(29))) * np.uint64(factor)
     return h ^ (h >> np.uint64(32))
@@ -76,7 +84,7 @@ def _cut(counts: Broadcast, threshold: float, kind: pa.DataType) -> Callable[[It
                 entry = np.zeros(len(size), np.int64)
                 if len(size):  # the sum does not depend on the order of the words
                     entry = _mix(np.add.reduceat(_mix(h, 0x9FB21C651E98DF25), first), 0xD6E8FEB86659FD93).view(np.int64)
-                length = size - np.ceil(threshold * size - 1e-9).astype(np.int64) + 1
+                length = np.minimum(size, size - np.ceil(threshold * size - 1e-9).astype(np.int64) + _shared(threshold))
                 ends = np.cumsum(length)
                 taken = np.repeat(first - (ends - length), length) + np.arange(int(length.sum()))
                 prefix = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(h[taken].view(np.int64).astype(np.int32)))
@@ -190,7 +198,8 @@ def _removed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFram
     # Then, for those that are left, every earlier holder.
     open_ = shared.join(found, "order", "left_anti").select("word", "order", "size", "place")
     holders = shared.select("word", F.col("order").alias("other"), F.col("size").alias("other_size"), F.col("place").alias("other_place"))
-    rest = open_.join(holders, "word").where((F.col("other") < F.col("order")) & _possible(threshold)).select("order", "other").distinct()
+    rest = open_.join(holders, "word").where((F.col("other") < F.col("order")) & _possible(threshold)).groupBy("order", "other")
+    rest = rest.agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= _shared(threshold)).select("order", "other")
     late = cut_lineage(_similar(rest.join(pivots, ["order", "other"], "left_anti"), sets, threshold))
 
     gone = found.unionByName(late).select("order", F.lit(True).alias("gone"))
