@@ -272,13 +272,17 @@ def _tokenizer(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], I
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
         known, end = Known(tokenizer), struct.pack("<I", end_id)
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
                 ids = []
                 for text in part.column(1).to_pylist():
+                    if text and any(token in text for token in added):  # pieces could cut the token apart
+                        own = tokenizer.encode(text, add_special_tokens=False).ids
+                        ids.append(struct.pack(f"<{len(own)}I", *own) + end)
+                        continue
                     pieces = (CHUNKS if "_" in (text or "") else PIECES).findall(text or "")
                     ids.append(b"".join(map(known.__getitem__, pieces)) + end)
                     if len(known) >= REMEMBERED:
@@ -291,7 +295,8 @@ def _tokenizer(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], I
 def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, key: str = "doc_id", text: str = "text") -> None:
     """Encodes each whole text, appends ``end_id`` and writes the records in ascending order of key.
 
-    The tokenizer is a byte-level BPE file of the tokenizers library. A null or empty
+    The tokenizer is a byte-level BPE file of the tokenizers library, and the ids are its
+    own without added special tokens: a special token written in a text is one id. A null or empty
     text is a record of the end id alone. Null keys come first and stay null; rows with
     equal keys are in the order of their text's hash, so a key that holds many rows
     still spreads over tasks. An empty table gives no file. Other columns are not read.
