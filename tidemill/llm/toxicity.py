@@ -1,9 +1,10 @@
 """Toxicity scores on text restored by a noisy-channel decoder.
 
 A character trigram model is counted over all documents. Tokens that look disguised
-(digits or signs among letters, long repetitions, letters set apart) become a lattice
+(digits or signs for letters, long repetitions, letters set apart) become a lattice
 of what each character may stand for, and Viterbi decoding under the model picks the
-likeliest reading. The words and word beginnings of the plain and the restored text
+likeliest reading. Up to four short neighbours are also read as one word that was
+split, where the model finds that likelier than the pieces. The words and word beginnings of the plain and the restored text
 are the features; their weights come from labelled rows.
 """
 
@@ -39,10 +40,15 @@ SIZE = len(LETTERS) + 3
 
 #: Costs of the channel, in nats: a sign for a letter, a sign that only separates, one more repetition.
 SWAP, SEPARATOR, REPEAT = 1.0, 2.5, 0.7
+#: A space inside a word.
+SPACE = 3.0
 
 WORD = re.compile(r"[^\W\d_]+")
 EDGE = ".,;:!?\"'()[]{}«»“”‘’…"
-APART = re.compile(r"(?<!\S)(?:[^\W_](?:[ ._*-]{1,2})){2,}[^\W_](?=[\s.,;:!?]|$)")
+APART = re.compile(r"(?<!\S)(?:[^\s._-][ ._*-]{1,2}){2,}[^\s._*-](?=[\s.,;:!?]|$)")
+BETWEEN = re.compile(r"([^\s._-])[ ._*-]{0,2}")
+#: Letters of a piece of a split word at most, and pieces.
+PIECE, PIECES = 5, 4
 REPEATED = re.compile(r"([^\W\d_])\1\1")
 RUN = re.compile(r"(.)\1*", re.S)
 
@@ -83,14 +89,20 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
         if c in ALPHABET:
             choices = [(c, REPEAT * (r > 1) if r != 2 else 0.5)] + ([(c + c, 0.1 if r == 2 else REPEAT)] if r > 1 else [])
         else:
-            choices = [(x, SWAP) for x in LEET.get(c, "")]
+            signs = LEET.get(c, "")
+            choices = [(x, SWAP + REPEAT * (r > 1)) for x in signs] + ([(x + y, SWAP + 0.1 if r == 2 else SWAP + REPEAT) for x in signs for y in signs] if r > 1 else [])
             choices.append(("", 4.0 if c.isalnum() else SEPARATOR if c in LEET else 0.3))
         steps.append(choices)
     return steps
 
 
 def decode(token: str, model: np.ndarray) -> str:
-    """The likeliest reading of a token: Viterbi over the lattice, states are the last two characters."""
+    """The likeliest reading of a token."""
+    return reading(token, model)[1]
+
+
+def reading(token: str, model: np.ndarray) -> tuple[float, str]:
+    """Cost and text of the likeliest reading: Viterbi over the lattice, states are the last two characters."""
     best: dict[tuple[int, int], tuple[float, str]] = {(START, START): (0.0, "")}
     for choices in lattice(token):
         after: dict[tuple[int, int], tuple[float, str]] = {}
@@ -104,30 +116,35 @@ def decode(token: str, model: np.ndarray) -> str:
                 if (x, y) not in after or total < after[x, y][0]:
                     after[x, y] = (total, out + letters)
         best = after
-    return min((cost + float(model[a, b, END]), out) for (a, b), (cost, out) in best.items())[1]
+    return min((cost + float(model[a, b, END]), out) for (a, b), (cost, out) in best.items())
 
 
 def disguised(token: str) -> bool:
-    """Letters with signs or digits that may stand for letters among them, or a letter three times in a row."""
-    letters = [i for i, c in enumerate(token) if c.isalpha()]
-    if not letters:
-        return False
-    if REPEATED.search(token):
+    """A sign or digit that may stand for a letter, another sign among letters, or a letter three times in a row."""
+    if token.isalpha():
+        return REPEATED.search(token) is not None
+    if any(c in LEET for c in token) or REPEATED.search(token):
         return True
-    inner = token[: letters[-1] + 1]
-    return any(not c.isalpha() and c not in "'’-" for c in inner) or token[-1] in "01345@$"
+    letters = [i for i, c in enumerate(token) if c.isalpha()]
+    return bool(letters) and any(not c.isalpha() and c not in "'’-" for c in token[: letters[-1] + 1])
 
 
 def readings(token: str, model: np.ndarray) -> set[str]:
-    """Words of a lower-case token, as written and as restored."""
+    """Words of a lower-case token: as written, and as restored with and without the signs around it."""
     words = set(WORD.findall(token))
     bare = token.strip(EDGE)
-    # Signs that only hang on the end of a plain word hide nothing.
-    if bare and disguised(bare.rstrip("*$%&#|<>") or bare):
+    if bare and disguised(bare):
         words |= {decode(bare, model), decode(bare.strip("*$%&#|<>"), model)}
     return words - {""}
 
 
+def joined(pieces: tuple[str, ...], model: np.ndarray) -> str:
+    """The word that was split into ``pieces``, or an empty text if the pieces are likelier words of their own."""
+    cost, word = reading("".join(pieces), model)
+    own = sum(reading(p, model)[0] for p in pieces)
+    return word if cost + SPACE * (len(pieces) - 1) < own else ""
+
+
 def features(words: set[str]) -> set[str]:
     """Whole words, and their beginnings for languages that add endings."""
     return {f"={w}" for w in words} | {w[:k] for w in words for k in (4, 5) if len(w) > k}
@@ -136,10 +153,20 @@ def features(words: set[str]) -> set[str]:
 def tokens_of(text: str) -> set[str]:
     low = text.lower()
     found = set(low.split())
-    found.update("".join(c for c in m.group(0) if c.isalpha()) for m in APART.finditer(low))
+    found.update("".join(BETWEEN.findall(m.group(0))) for m in APART.finditer(low))
     return found
 
 
+def neighbours(text: str) -> set[tuple[str, ...]]:
+    """Runs of two to ``PIECES`` short tokens."""
+    tokens = [t.strip(EDGE) if 0 < len(t) <= PIECE + 1 else "" for t in text.lower().split()]
+    tokens = [t if len(t) <= PIECE else "" for t in tokens]
+    found: set[tuple[str, ...]] = set()
+    for n in range(2, PIECES + 1):
+        found.update(zip(*(tokens[i:] for i in range(n))))
+    return {run for run in found if all(run)}
+
+
 @dataclass
 class Model:
     """What scoring needs: the character model, weights of features, and the coefficients of the document's sums."""
@@ -161,8 +188,25 @@ def _vectors(weights: dict, model: np.ndarray):
             found = known[token] = max((weights.get(f, 0.0) for f in features(readings(token, model))), default=0.0)
         return found
 
+    together: dict[tuple[str, ...], float] = {}
+
+    def split(pieces: tuple[str, ...]) -> float:
+        """Weight of the word that was split; only what may carry one is decoded."""
+        found = together.get(pieces)
+        if found is None:
+            if len(together) >= REMEMBERED:
+                together.clear()
+            whole, found = "".join(pieces), 0.0
+            if len(whole) > 3 and (not whole.isalpha() or f"={whole}" in weights or whole[:4] in weights or whole[:5] in weights):
+                if not whole.isdigit() and max(map(weight, pieces)) <= 0:
+                    word = joined(pieces, model)
+                    found = max((weights.get(f, 0.0) for f in features({word})), default=0.0) if word else 0.0
+            together[pieces] = found
+        return found
+
     def vector(text: str) -> tuple[float, float]:
         heavy = [w for w in map(weight, tokens_of(text)) if w > 0]
+        heavy += [w for w in map(split, neighbours(text)) if w > 0]
         return max(heavy, default=0.0), math.log1p(len(heavy))
 
     return vector
@@ -183,7 +227,8 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Model:
     """Fits on at most ``sample`` rows of ``labels`` (key, label); the character model covers all of ``docs``.
 
-    Null keys and labels are left out; of several labels of a key the largest counts.
+    Words are judged as they stand and restored; split words only count when texts are
+    scored. Null keys and labels are left out; of several labels of a key the largest counts.
     Without any labelled row, or without both classes, every document scores the
     smoothed share of the label.
     """
