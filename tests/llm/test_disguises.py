@@ -32,3 +32,8 @@ def test_split_words(model, text):
     vector = toxicity._vectors({"=idiot": 3.0, "=trash": 3.0}, model)
     assert vector(text)[0] == 3.0
     assert vector("the old house said to a")[0] == 0.0
+
+
+def test_long_words_are_counted(spark):
+    grams = {r.gram: r.n for r in toxicity.trigrams(documents(spark, [(1, "q" * 60 + " ab")])).collect()}
+    assert grams["qqq"] == 58 and grams["^ab"] == 1

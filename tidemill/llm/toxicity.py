@@ -58,7 +58,7 @@ def trigrams(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Words are counted first, so each distinct word is cut into triples once.
     """
-    words = docs.select(F.explode(F.split(F.lower(text), r"[^\p{L}]+")).alias("word")).where(F.length("word").between(1, 40))
+    words = docs.select(F.explode(F.split(F.lower(text), r"[^\p{L}]+")).alias("word")).where(F.length("word") > 0)
     counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     framed = F.concat(F.lit("^^"), F.regexp_replace("word", f"[^{LETTERS}]", "?"), F.lit("$"))
     cut = counted.withColumn("framed", framed).select(
