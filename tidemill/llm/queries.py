@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import bpe, decontaminate, lines, quality, records, simhash, suffixes, toxicity, urls, warc
+from tidemill.llm import bpe, decontaminate, digests, lines, quality, records, simhash, suffixes, toxicity, urls, warc
 from tidemill.session import scratch_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -192,3 +192,22 @@ def pipeline(spark: SparkSession, path: str) -> DataFrame:
 def op1_suffix_dedup(spark: SparkSession, path: str) -> DataFrame:
     kept = suffixes.deduplicate(table(spark, path, "documents"))
     return kept.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(
+    "op11_exact_dedup",
+    r"""
+WITH d AS (
+    SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256, length(coalesce(text, '')) AS n
+    FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       row_number() OVER w = 1 AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST)
+""",
+)
+def op11_exact_dedup(spark: SparkSession, path: str) -> DataFrame:
+    index = digests.DigestIndex(spark, scratch_path(spark, "digest-index"))
+    return index.add(table(spark, path, "documents"), "documents").select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
