@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import bpe, conversations, decontaminate, digests, lines, quality, records, simhash, suffixes, toxicity, urls, warc
+from tidemill.llm import bpe, conversations, decontaminate, digests, lines, negatives, quality, records, simhash, suffixes, toxicity, urls, warc
 from tidemill.session import scratch_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -235,3 +235,31 @@ def op13_conversations(spark: SparkSession, path: str) -> DataFrame:
     both = found.withColumn("from", F.lit(1)).unionByName(ids.withColumn("from", F.lit(0)))
     columns = (*conversations.COUNTS, "audit", "repaired_sha256")
     return both.groupBy("conv_id").agg(F.max_by(F.struct(*columns), "from").alias("r")).select("conv_id", *(f"r.{c}" for c in columns))
+
+
+@query(
+    "op12_hard_negatives",
+    """
+WITH e AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)::INT AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5
+""",
+)
+def op12_hard_negatives(spark: SparkSession, path: str) -> DataFrame:
+    rows = table(spark, path, "embeddings")
+    finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(F.lit(256.0) * x.cast("double")))
+    rows = rows.where(F.col("embedding").isNotNull() & finite).select("vec_id", label.alias("label"), whole.alias("vector"))
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
