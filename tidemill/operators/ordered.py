@@ -5,9 +5,11 @@ rows, sorts those rows in one task. The operators here cut the order column
 into ranges first. Each range is sorted by itself, and what lies before it is
 added from a table with one line per range.
 
-The cut points come from ``approxQuantile`` (a bounded list). A cut point that
-repeats is a value so frequent that one range could not hold it evenly; it gets
-a range of its own, which is cut once more by the tie-break column.
+The cut points of numbers and times come from ``approxQuantile``, those of text
+from a bounded sample compared byte by byte, as Spark orders text, so a prefix
+that most texts share costs nothing. A cut point that repeats is a value so
+frequent that one range could not hold it evenly; it gets a range of its own,
+which is cut once more by the tie-break column.
 """
 
 from __future__ import annotations
@@ -21,6 +23,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemill.functions.columns import position
 from tidemill.session import cut_lineage, parallelism
 
+#: Sampled texts per range, sampled texts in all, and characters of a text that the sample keeps.
+PER_RANGE, SAMPLE, PREFIX = 200, 200_000, 1024
+
 _POS, _TIE, _RANGE, _PART, _KEY = "__pos", "__tie", "__range", "__part", "__key"
 
 
@@ -50,13 +55,56 @@ def _cuts(df: DataFrame, n: int) -> tuple[list[float], list[float], list[float]]
     return sorted(set(points)), frequent, ties
 
 
-def _text_position(df: DataFrame, column: str) -> Column:
-    """A double that grows with a text: its first six bytes behind what all texts begin with."""
-    ends = df.agg(F.min(column).alias("a"), F.max(column).alias("b")).first()
-    low, high = ((t or "").encode() for t in (ends["a"], ends["b"]))
-    shared = next((i for i, (x, y) in enumerate(zip(low, high)) if x != y), min(len(low), len(high)))
-    digits = F.rpad(F.substring(F.hex(F.col(column)), 2 * shared + 1, 12), 12, "0")
-    return F.coalesce(F.conv(digits, 16, 10).cast("double"), F.lit(float("inf")))
+def _text_sample(df: DataFrame, columns: list[str], n: int) -> list[tuple]:
+    """A bounded sample of the rows: some ``PER_RANGE`` for each of n ranges, ``SAMPLE`` at most, texts cut after ``PREFIX`` characters."""
+    rows, wanted = df.count(), min(PER_RANGE * n, SAMPLE)
+    some = df.select(*[F.substring(c, 1, PREFIX) if t == "string" else F.col(c) for c, t in df.select(*columns).dtypes])
+    return [tuple(r) for r in some.sample(min(1.0, 1.2 * wanted / max(rows, 1)), 7).limit(2 * wanted).collect()]
+
+
+def _text_cuts(values: list[str], n: int) -> tuple[list[str], list[str]]:
+    """Cut points between n ranges of the sampled texts, and the texts that fill a range."""
+    values = sorted((v for v in values if v is not None), key=str.encode)
+    points = [values[len(values) * i // n] for i in range(1, n)] if values else []
+    frequent = sorted({a for a, b in zip(points, points[1:]) if a == b}, key=str.encode)
+    # Nothing lies between a text and the same text with a zero byte behind it.
+    return sorted({*points, *(f + "\0" for f in frequent)}, key=str.encode), frequent
+
+
+def _place(column: str, cuts: list[str]) -> Column:
+    """How many cut points are not above the text; two short searches instead of one over all of them."""
+    if not cuts:
+        return F.lit(0.0)
+    step = math.ceil(math.sqrt(len(cuts)))
+    blocks = [cuts[i : i + step] for i in range(0, len(cuts), step)]
+    at_most = lambda c: c <= F.col(column)
+    block = F.size(F.filter(F.lit([b[0] for b in blocks]), at_most))
+    inside = F.size(F.filter(F.element_at(F.array(*[F.lit(b) for b in blocks]), F.greatest(block, F.lit(1))), at_most))
+    return F.when(block == 0, 0.0).otherwise(((block - 1) * step + inside).cast("double"))
+
+
+def _cut_text(df: DataFrame, by: str, descending: bool, tie: str | None, n: int, spread: bool) -> DataFrame:
+    types = dict(df.dtypes)
+    sample = _text_sample(df, [by, tie] if tie and tie != by else [by], n)
+    cuts, frequent = _text_cuts([r[0] for r in sample], n)
+    place = F.lit(float(len(cuts))) - _place(by, cuts) if descending else _place(by, cuts)
+    df = df.withColumn(_RANGE, F.when(F.col(by).isNull(), float(len(cuts) + 1)).otherwise(place))
+    part, fill = F.lit(0.0), F.col(by).isin(frequent)
+    if frequent and tie and tie != by:
+        ties = [r[1] for r in sample if r[0] in set(frequent)]
+        if types[tie] == "string":
+            inner = F.when(F.col(tie).isNull(), -1.0).otherwise(_place(tie, _text_cuts(ties, n)[0]))
+        else:
+            held = df.where(fill).select(position(tie, types[tie]).alias(_TIE))
+            probs = [i / n for i in range(1, n)]
+            points = sorted({p for p in held.approxQuantile(_TIE, probs, 0.25 / n) if math.isfinite(p)})
+            after = F.size(F.filter(F.lit(points or [0.0]), lambda p: p <= position(tie, types[tie]))).cast("double")
+            inner = F.when(F.col(tie).isNull(), -1.0).otherwise(after)
+        part = F.when(fill, inner).otherwise(0.0)
+    elif frequent and spread and not tie:
+        row = F.pmod(F.xxhash64(*[c for c in df.columns if c != _RANGE]), F.lit(n)).cast("double")
+        part = F.when(fill, row).otherwise(0.0)
+    return df.withColumn(_PART, part)
 
 
 def cut_ranges(
@@ -69,22 +117,26 @@ def cut_ranges(
     """
     n = n or parallelism(df.sparkSession)
     types = dict(df.dtypes)
-    text = types[by] == "string"
-    pos = _text_position(df, by) if text else position(by, types[by])
+    if types[by] == "string":
+        return Ranges(_cut_text(df, by, descending, tie, n, spread), by, descending, tie)
+    pos = position(by, types[by])
     if descending:
         pos = F.when(F.col(by).isNull(), F.lit(float("inf"))).otherwise(-pos)
     df = df.withColumn(_POS, pos)
-    if tie:
-        place = _text_position(df, tie) if types[tie] == "string" else position(tie, types[tie])
-        df = df.withColumn(_TIE, place)
+    text_tie = tie is not None and types[tie] == "string"
+    if tie and not text_tie:
+        df = df.withColumn(_TIE, position(tie, types[tie]))
     points, frequent, ties = _cuts(df, n)
-    if text:  # texts that share a position may differ, so they stay in one part
-        frequent = []
     splits = sorted(set(points) | {math.nextafter(f, math.inf) for f in frequent}) or [0.0]
     df = Bucketizer(
         splits=[-math.inf, *splits, math.inf], inputCol=_POS, outputCol=_RANGE, handleInvalid="keep"
     ).transform(df)
-    if frequent and ties:
+    if frequent and text_tie:
+        held = df.where(F.col(_POS).isin(frequent))
+        cuts = _text_cuts([r[0] for r in _text_sample(held, [tie], n)], n)[0]
+        inner = F.when(F.col(tie).isNull(), -1.0).otherwise(_place(tie, cuts))
+        df = df.withColumn(_PART, F.when(F.col(_POS).isin(frequent), inner).otherwise(0.0))
+    elif frequent and ties:
         df = Bucketizer(
             splits=[-math.inf, *ties, math.inf], inputCol=_TIE, outputCol=_PART, handleInvalid="keep"
         ).transform(df)
