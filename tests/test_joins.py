@@ -36,6 +36,28 @@ def test_one_hot_long_period_meets_everything_once(spark):
     assert joined(spark, left, right, False) == [(i, 0) for i in range(200)]
 
 
+def test_points_are_not_copied_and_crowded_cells_are_dealt_out(spark):
+    rng = random.Random(8)
+    points = [(i, 5_000_003 if i % 2 else rng.randint(-10**7, 10**7)) for i in range(6000)] + [(-1, None)]
+    spans = [(j, b, b + rng.choice([0, 3, 200, 10**6])) for j, b in enumerate(rng.randint(-10**7, 10**7) for _ in range(300))]
+    spans += [(900, 5_000_003, 5_000_003), (901, 5_000_004, 5_000_000), (902, -(10**12), 10**12), (903, None, 4)]
+    a, c = spark.createDataFrame(points, "i long, at long"), spark.createDataFrame(spans, "j long, b long, e long")
+    out = ranges.point_in_period(a, c, F.col("at"), F.col("b"), F.col("e"), width=4)
+    got = sorted((r.i, r.j) for r in out.collect())
+    assert got == sorted((i, j) for i, at in points if at is not None for j, b, e in spans if b is not None and b <= at <= e)
+    probes, _ = ranges._salted(ranges._points(ranges._bounded(a, F.col("at"), F.col("at"), "__l"), "__l", 1000), c.withColumn("__cell", F.col("j")), "__lrow")
+    sizes = [r["count"] for r in probes.groupBy("__cell", "__salt").count().collect()]
+    assert sum(sizes) == 6000 and max(sizes) < 6000 // 64
+
+
+def test_pieces_grow_with_the_periods(spark):
+    spans = [(j, j * 50, j * 50 + 3) for j in range(500)] + [(999, 0, 10**15)]
+    c = ranges._bounded(spark.createDataFrame(spans, "j long, b long, e long"), F.col("b"), F.col("e"), "__r")
+    pieces = ranges._pieces(c, "__r", ranges._grid([(c, "__r")], 1))
+    assert pieces.count() <= 4 * len(spans)
+    assert pieces.groupBy("__rrow", "__cell").count().where("count > 1").isEmpty()
+
+
 def test_ipv4(spark):
     rows = spark.createDataFrame([("10.0.0.1",), ("255.255.255.255",), ("1.2.3",), ("300.1.1.1",), (None,)], "a string")
     got = [r[0] for r in rows.select(ranges.ipv4_number(F.col("a"))).collect()]

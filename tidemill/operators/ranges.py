@@ -1,61 +1,69 @@
 """Joins on overlapping periods and on network prefixes, as equi-joins.
 
-Spark plans a nested loop for an inequality join. Here a period is laid into
-bins of the smallest width that is at least its length, so it touches one or
-two of them, and wider periods go to wider bins. Two periods meet in the bin
-width of the longer one, in the bin where the later of them begins, so each
-pair appears once, however long a period is.
+Spark plans a nested loop for an inequality join. Here periods are cut into pieces
+along one grid, and rows meet where they have a piece in the same cell. A point lies
+in one cell, so it is never copied. The cells are as wide as a third of the mean
+period, or wider, so all pieces together are at most four per period however unequal
+the periods are; and a cell holds no more than about a third as many short periods as
+long ones cross it, so few candidates are tested in vain. Two periods that share
+several cells are joined in the one where the later of them begins.
+
+A cell that holds more than its share of the probing rows is salted: its rows are
+dealt over several tasks, to each of which the cell's periods are sent.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-GROWTH = 8
-WIDEST = 2**62
-
-
-def _level(length: Column, width: int) -> Column:
-    """Index of the narrowest bin width that holds the length."""
-    chain, k = F.when(length <= width, 0), 1
-    while width * GROWTH ** (k + 1) <= WIDEST:
-        chain, k = chain.when(length <= width * GROWTH**k, k), k + 1
-    return chain.otherwise(k)
-
-
-def _levels_of(df: DataFrame) -> list[int]:
-    """Indices of the bin widths in use, at most about twenty numbers."""
-    return sorted(r[0] for r in df.select("__level").where("__level IS NOT NULL").distinct().collect())
-
-
-def _binned(df: DataFrame, begin: Column, end: Column, width: int, prefix: str) -> DataFrame:
-    length = F.greatest(end - begin, F.lit(0))
-    return df.select(
-        F.struct(*df.columns).alias(f"{prefix}row"),
-        begin.alias(f"{prefix}b"),
-        end.alias(f"{prefix}e"),
-        _level(length, width).alias("__level"),
-    ).where(F.col(f"{prefix}b").isNotNull() & F.col(f"{prefix}e").isNotNull())
-
-
-def _spread(df: DataFrame, prefix: str, width: int, meet: list[int]) -> DataFrame:
-    """One row per (width, bin) in which a partner can be met."""
-    own = F.col("__level")
-    slots = []
-    for m in meet:
-        w = width * GROWTH**m
-        first, last = F.floor(F.col(f"{prefix}b") / w), F.floor(F.greatest(f"{prefix}b", f"{prefix}e") / w)
-        bins = F.transform(F.sequence(first, last), lambda b: F.struct(F.lit(m).alias("m"), b.alias("bin"), first.alias("first")))
-        slots.append(F.when(own <= m, bins).otherwise(F.array().cast("array<struct<m:int,bin:bigint,first:bigint>>")))
-    return df.withColumn("__slot", F.explode(F.concat(*slots))).select(
-        f"{prefix}row",
-        f"{prefix}b",
-        f"{prefix}e",
-        own.alias(f"{prefix}level"),
-        F.col("__slot.m").alias("__m"),
-        F.col("__slot.bin").alias("__bin"),
-        F.col("__slot.first").alias(f"{prefix}first"),
-    )
+#: A cell with more than one in so many probing rows is salted; there are fewer than this.
+SHARES = 256
+#: Pieces of a period are listed in two steps, so that no row holds more than this many, or this many blocks of them.
+BLOCK = 1024
+
+
+def _bounded(df: DataFrame, begin: Column, end: Column, prefix: str) -> DataFrame:
+    kept = df.select(F.struct(*df.columns).alias(f"{prefix}row"), begin.alias(f"{prefix}b"), end.alias(f"{prefix}e"))
+    return kept.where(F.col(f"{prefix}b").isNotNull() & F.col(f"{prefix}e").isNotNull())
+
+
+def _grid(frames: list[tuple[DataFrame, str]], width: int) -> int:
+    """Cell width: a third of the greater mean length, ``width`` at least."""
+    for df, prefix in frames:
+        length = F.greatest(F.col(f"{prefix}e") - F.col(f"{prefix}b"), F.lit(0)).cast("decimal(38,0)")
+        mean = df.agg(F.avg(length)).first()[0]
+        width = max(width, int(mean or 0) // 3 + 1)
+    return width
+
+
+def _pieces(df: DataFrame, prefix: str, width: int) -> DataFrame:
+    """One row per cell that the period touches, with the first of them."""
+    cell = lambda c: F.floor(F.col(c).cast("decimal(38,0)") / F.lit(width).cast("decimal(38,0)")).cast("long")
+    df = df.withColumn(f"{prefix}first", cell(f"{prefix}b")).withColumn("__last", cell(f"{prefix}e"))
+    df = df.withColumn("__last", F.greatest(f"{prefix}first", "__last"))
+    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("__last") - F.col(f"{prefix}first")) / BLOCK))
+    df = df.withColumn("__from", F.explode(F.transform(blocks, lambda b: F.col(f"{prefix}first") + b * BLOCK)))
+    to = F.least(F.col("__from") + (BLOCK - 1), F.col("__last"))
+    return df.withColumn("__cell", F.explode(F.sequence("__from", to))).drop("__from", "__last")
+
+
+def _points(df: DataFrame, prefix: str, width: int) -> DataFrame:
+    at = F.floor(F.col(f"{prefix}b").cast("decimal(38,0)") / F.lit(width).cast("decimal(38,0)")).cast("long")
+    return df.withColumn("__cell", at).withColumn(f"{prefix}first", F.col("__cell"))
+
+
+def _salted(probes: DataFrame, pieces: DataFrame, row: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``__salt``, which differs from 0 in crowded cells only."""
+    counts = probes.groupBy("__cell").agg(F.count(F.lit(1)).alias("n"))
+    crowded = counts.orderBy(F.col("n").desc(), "__cell").limit(SHARES).collect()
+    total = probes.count() if crowded else 0
+    parts = {r["__cell"]: -(-r["n"] * SHARES // total) for r in crowded if r["n"] * SHARES > total}
+    salts = F.lit(1)
+    if parts:
+        table = F.create_map(*[F.lit(x) for kv in parts.items() for x in kv])
+        salts = F.coalesce(F.try_element_at(table, F.col("__cell")), F.lit(1))
+    dealt = probes.withColumn("__salt", F.pmod(F.xxhash64(row), salts).cast("int"))
+    return dealt, pieces.withColumn("__salt", F.explode(F.sequence(F.lit(0), (salts - 1).cast("int"))))
 
 
 def interval_join(
@@ -71,28 +79,29 @@ def interval_join(
     """Pairs of rows whose periods overlap.
 
     Bounds are whole numbers (microseconds, days, addresses); ``width`` is the
-    narrowest bin, best near a usual period length. Half-open by default:
+    narrowest cell, best near a usual period length. Half-open by default:
     ``not (b1 >= e2 or b2 >= e1)``; ``closed`` counts touching ends as well.
-    Column names of the two sides must differ.
+    Column names of the two sides must differ. ``left`` should be the larger side:
+    crowded cells are dealt out by its rows.
     """
-    a = _binned(left, left_begin, left_end, width, "__l")
-    c = _binned(right, right_begin, right_end, width, "__r")
-    meet = sorted(set(_levels_of(a)) | set(_levels_of(c)))
-    pairs = _spread(a, "__l", width, meet).join(_spread(c, "__r", width, meet), ["__m", "__bin"])
+    a, c = _bounded(left, left_begin, left_end, "__l"), _bounded(right, right_begin, right_end, "__r")
+    width = _grid([(a, "__l"), (c, "__r")], width)
+    probes, pieces = _salted(_pieces(a, "__l", width), _pieces(c, "__r", width), "__lrow")
     lb, le, rb, re = (F.col(n) for n in ("__lb", "__le", "__rb", "__re"))
     touching = (lb <= re) & (rb <= le) if closed else (lb < re) & (rb < le)
-    return pairs.where(
-        touching
-        & (F.col("__m") == F.greatest("__llevel", "__rlevel"))
-        & (F.col("__bin") == F.greatest("__lfirst", "__rfirst"))
-    ).select("__lrow.*", "__rrow.*")
+    met = probes.join(pieces, ["__cell", "__salt"]).where(touching & (F.col("__cell") == F.greatest("__lfirst", "__rfirst")))
+    return met.select("__lrow.*", "__rrow.*")
 
 
 def point_in_period(
     points: DataFrame, periods: DataFrame, point: Column, begin: Column, end: Column, width: int
 ) -> DataFrame:
-    """Points with the periods that hold them; both ends belong to the period."""
-    return interval_join(points, periods, point, point, begin, end, width, closed=True)
+    """Points with the periods that hold them; both ends belong to the period. A point is one row up to the join."""
+    a, c = _bounded(points, point, point, "__l"), _bounded(periods, begin, end, "__r")
+    width = _grid([(c, "__r")], width)
+    probes, pieces = _salted(_points(a, "__l", width), _pieces(c, "__r", width), "__lrow")
+    met = probes.join(pieces, ["__cell", "__salt"]).where("__rb <= __lb AND __lb <= __re")
+    return met.select("__lrow.*", "__rrow.*")
 
 
 _QUAD = "(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
