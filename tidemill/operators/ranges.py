@@ -14,7 +14,7 @@ dealt over several tasks, to each of which the cell's periods are sent.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 #: A cell with more than one in so many probing rows is salted; there are fewer than this.
 SHARES = 256
@@ -30,16 +30,21 @@ def _bounded(df: DataFrame, begin: Column, end: Column, prefix: str) -> DataFram
 def _grid(frames: list[tuple[DataFrame, str]], width: int) -> int:
     """Cell width: a third of the greater mean length, ``width`` at least."""
     for df, prefix in frames:
-        length = F.greatest(F.col(f"{prefix}e") - F.col(f"{prefix}b"), F.lit(0)).cast("decimal(38,0)")
+        length = F.greatest(F.col(f"{prefix}e").cast("double") - F.col(f"{prefix}b").cast("double"), F.lit(0.0))
         mean = df.agg(F.avg(length)).first()[0]
         width = max(width, int(mean or 0) // 3 + 1)
     return width
 
 
+def _cell(column: str, width: int) -> Column:
+    """Whole cells below the bound, downwards for negative numbers too."""
+    at = F.col(column).cast("long")
+    return F.call_function("div", at - F.pmod(at, F.lit(width).cast("long")), F.lit(width).cast("long"))
+
+
 def _pieces(df: DataFrame, prefix: str, width: int) -> DataFrame:
     """One row per cell that the period touches, with the first of them."""
-    cell = lambda c: F.floor(F.col(c).cast("decimal(38,0)") / F.lit(width).cast("decimal(38,0)")).cast("long")
-    df = df.withColumn(f"{prefix}first", cell(f"{prefix}b")).withColumn("__last", cell(f"{prefix}e"))
+    df = df.withColumn(f"{prefix}first", _cell(f"{prefix}b", width)).withColumn("__last", _cell(f"{prefix}e", width))
     df = df.withColumn("__last", F.greatest(f"{prefix}first", "__last"))
     blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("__last") - F.col(f"{prefix}first")) / BLOCK))
     df = df.withColumn("__from", F.explode(F.transform(blocks, lambda b: F.col(f"{prefix}first") + b * BLOCK)))
@@ -48,15 +53,15 @@ def _pieces(df: DataFrame, prefix: str, width: int) -> DataFrame:
 
 
 def _points(df: DataFrame, prefix: str, width: int) -> DataFrame:
-    at = F.floor(F.col(f"{prefix}b").cast("decimal(38,0)") / F.lit(width).cast("decimal(38,0)")).cast("long")
-    return df.withColumn("__cell", at).withColumn(f"{prefix}first", F.col("__cell"))
+    return df.withColumn("__cell", _cell(f"{prefix}b", width)).withColumn(f"{prefix}first", F.col("__cell"))
 
 
 def _salted(probes: DataFrame, pieces: DataFrame, row: str) -> tuple[DataFrame, DataFrame]:
     """Both sides with ``__salt``, which differs from 0 in crowded cells only."""
-    counts = probes.groupBy("__cell").agg(F.count(F.lit(1)).alias("n"))
+    seen = Observation()
+    counts = probes.groupBy("__cell").agg(F.count(F.lit(1)).alias("n")).observe(seen, F.sum("n").alias("total"))
     crowded = counts.orderBy(F.col("n").desc(), "__cell").limit(SHARES).collect()
-    total = probes.count() if crowded else 0
+    total = seen.get["total"]
     parts = {r["__cell"]: -(-r["n"] * SHARES // total) for r in crowded if r["n"] * SHARES > total}
     salts = F.lit(1)
     if parts:
