@@ -286,12 +286,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
 def _apply(rows: DataFrame, model: Model, keep: list[str], kinds: str) -> DataFrame:
     """``rows`` has the kept columns and ``text``; adds score, top and many."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    # Plain values: a broadcast is pickled by reference, and workers may lack this package.
+    shared = rows.sparkSession.sparkContext.broadcast((model.characters, model.weights, model.coefficients))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        vector = _vectors(own.weights, own.characters)
-        c0, c1, c2 = own.coefficients
+        characters, weights, (c0, c1, c2) = shared.value
+        vector = _vectors(weights, characters)
         for batch in batches:
             found = np.array([vector(t.as_py() or "") for t in batch.column("text")], dtype=float).reshape(-1, 2)
             score = 1 / (1 + np.exp(-np.clip(c0 + c1 * found[:, 0] + c2 * found[:, 1], -500, 500)))
