@@ -48,6 +48,21 @@ def test_scd2_keeps_history_and_repeats_without_change(spark):
     assert rows["CLT-010", True].name == "Gone"
 
 
+def test_scd2_merges_only_the_keys_of_the_batch(spark, tmp_path):
+    """No full join, the small batch is broadcast, and the dimension is not shuffled; null keys match nothing."""
+    rows = [(f"c{i}", "n", "r", "east", "m", 1.0) for i in range(2000)] + [(None, "n", "r", "east", "m", 1.0)]
+    cdc.scd2_open(spark.createDataFrame(rows, COLUMNS), "2020-01-01").write.parquet(f"{tmp_path}/dim")
+    dimension = spark.read.parquet(f"{tmp_path}/dim")
+    batch = spark.createDataFrame([("c1", "n", "other", "east", "m", 1.0), ("new", "n", "r", "x", "m", 1.0), (None, "n", "r", "x", "m", 1.0)], COLUMNS)
+    batch.write.parquet(f"{tmp_path}/batch")
+    batch = spark.read.parquet(f"{tmp_path}/batch")
+    merged = cdc.scd2_merge(dimension, batch, ["client_id"], ["region"], "2024-10-01")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan and plan.count("BroadcastHashJoin") >= 2
+    assert merged.count() == 2001 + 1 + 2 and merged.where("NOT is_current").count() == 1
+    assert merged.where("client_id IS NULL").count() == 2
+
+
 def test_hash_tells_null_positions_apart(spark):
     df = spark.createDataFrame([("a", None), (None, "a")], "x string, y string")
     count = lambda legacy: df.select(cdc.row_hash(["x", "y"], legacy).alias("h")).distinct().count()

@@ -93,3 +93,24 @@ def test_network_without_a_length_holds_no_host(spark):
     hosts = spark.createDataFrame([("10.0.0.1",), (None,), ("x",)], "host string")
     nets = spark.createDataFrame([("10.0.0.0", 8), ("10.0.0.0", None), ("10.0.0.0", 40)], "net string, bits int")
     assert [tuple(r) for r in ranges.network_join(hosts, nets, "host", "net", "bits").collect()] == [("10.0.0.1", "10.0.0.0", 8)]
+
+
+def test_similarity_join_loses_no_pair(spark):
+    import duckdb
+
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdeéx #") for _ in range(rng.choice([1, 2, 3, 5, 8, 12, 30]))) for _ in range(120)]
+    typed = words[:60] + ["".join(rng.sample(w, len(w))) for w in words[:20]] + [w[1:] + w[:1] for w in words[20:60]] + [w + "zz" for w in words[40:90]]
+    words, typed = sorted({*words, "", "martha"}), sorted({*typed, "", "marhta"})
+    a = spark.createDataFrame([(w,) for w in words] + [(None,), (words[3],)], "a string")
+    b = spark.createDataFrame([(w,) for w in typed] + [(None,)], "b string")
+    ascii_pairs = [(x, y) for x in words for y in typed]
+    scores = dict(zip(ascii_pairs, similar._score([x for x, _ in ascii_pairs], [y for _, y in ascii_pairs])))
+    for threshold in (0.8, 0.9, 1.0):
+        got = {(r.a, r.b): r.score for r in similar.similarity_join(a, b, "a", "b", threshold).collect()}
+        want = {p: s for p, s in scores.items() if s >= threshold - 1e-9}
+        assert set(got) == set(want)
+    con = duckdb.connect()
+    for (x, y), s in scores.items():
+        if x.isascii() and y.isascii() and x and y:
+            assert abs(con.execute("SELECT jaro_winkler_similarity(?, ?)", [x, y]).fetchone()[0] - s) < 1e-9

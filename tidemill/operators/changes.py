@@ -119,13 +119,19 @@ def scd2_merge(
     A change in an overwritten column replaces the value in the current row; a
     change in any other column closes the current row and opens a new one.
     History and rows the batch lacks stay. The same batch again changes
-    nothing. One join; a changed key gives two rows of one array.
+    nothing. The batch must have one row per key.
+
+    Only the current rows of the batch's keys are merged. They are found by a semi
+    join, all others pass by an anti join; both see only the keys of the batch, so a
+    small batch is broadcast and the dimension is not shuffled. A changed key gives
+    two rows of one array.
     """
     data = [c for c in batch.columns if c not in keys]
     versioned = [c for c in data if c not in overwritten]
-    history = dimension.where(~F.col("is_current"))
-    now = dimension.where("is_current").select(*keys, F.struct(*data, "valid_from").alias("__old"))
-    both = now.join(batch.select(*keys, F.struct(*data).alias("__new")), list(keys), "full")
+    named = batch.select(*keys)
+    rest = dimension.join(named.withColumn("is_current", F.lit(True)), [*keys, "is_current"], "left_anti").select(*dimension.columns)
+    touched = dimension.where("is_current").join(named, list(keys), "left_semi").select(*keys, F.struct(*data, "valid_from").alias("__old"))
+    both = batch.select(*keys, F.struct(*data).alias("__new")).join(touched, list(keys), "left")
 
     def version(values: str, took: Sequence[str], valid_from: Column, valid_to: Column, current: bool) -> Column:
         return F.struct(
@@ -142,11 +148,10 @@ def scd2_merge(
     opened = version("__new", (), start, never, True)
     rows = (
         F.when(F.col("__old").isNull(), F.array(opened))
-        .when(F.col("__new").isNull(), F.array(version("__old", (), old_from, never, True)))
         .when(changed, F.array(version("__old", (), old_from, start, False), opened))
         .otherwise(F.array(version("__old", overwritten, old_from, never, True)))
     )
-    return both.select(*keys, F.inline(rows)).unionByName(history).select(*dimension.columns)
+    return both.select(*keys, F.inline(rows)).unionByName(rest).select(*dimension.columns)
 
 
 def replace_window(target: DataFrame, batch: DataFrame, column: str, start: object) -> DataFrame:

@@ -338,6 +338,28 @@ def fuzzy(t: Tables) -> DataFrame:
     return found.select("name", "typed", dbl(F.round(F.col("score").cast("decimal(24,8)"), 6)).alias("score"))
 
 
+@query(
+    "join_similar",
+    """WITH a AS (SELECT DISTINCT p_name || ' ' || p_brand AS name FROM part),
+            b AS (SELECT DISTINCT CASE p_partkey % 4 WHEN 0 THEN p_name || ' ' || p_brand WHEN 1 THEN substr(p_name, 2, 2) || substr(p_name, 1, 1) || substr(p_name, 4) || ' ' || p_brand
+                         WHEN 2 THEN p_brand || ' ' || p_name ELSE p_name || ' ' || replace(p_brand, '#', ' no ') END AS typed FROM part)
+       SELECT name, typed, CAST(round(CAST(jaro_winkler_similarity(name, typed) AS DECIMAL(24,8)), 6) AS DOUBLE) AS score
+       FROM a, b WHERE jaro_winkler_similarity(name, typed) >= 0.9 - 1e-9""",
+)
+def similar_names(t: Tables) -> DataFrame:
+    """Part labels against labels with characters moved, words swapped or signs replaced."""
+    name, label, slot = F.col("p_name"), F.concat("p_name", F.lit(" "), "p_brand"), F.col("p_partkey") % 4
+    piece = lambda start, n: F.substr(name, F.lit(start), F.lit(n))
+    typed = (
+        F.when(slot == 0, label)
+        .when(slot == 1, F.concat(piece(2, 2), piece(1, 1), F.substr(name, F.lit(4)), F.lit(" "), "p_brand"))
+        .when(slot == 2, F.concat("p_brand", F.lit(" "), name))
+        .otherwise(F.concat(name, F.lit(" "), F.replace("p_brand", F.lit("#"), F.lit(" no "))))
+    )
+    found = similar.similarity_join(t.part.select(label.alias("name")), t.part.select(typed.alias("typed")), "name", "typed", 0.9)
+    return found.select("name", "typed", dbl(F.round(F.col("score").cast("decimal(24,8)"), 6)).alias("score"))
+
+
 @query(
     "join_derived_key",
     """WITH b AS (SELECT p_partkey, CASE WHEN instr(p_brand, '#') > 0 THEN substr(p_brand, instr(p_brand, '#') + 1) ELSE p_brand END AS code,
