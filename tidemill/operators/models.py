@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
@@ -16,13 +15,105 @@ from tidemill.operators.ordered import average_percent_ranks, order_stats
 from tidemill.session import cut_lineage
 
 
-def named_clusters(df: DataFrame, column: str, names: Sequence[str], out: str, seed: int = 12345) -> DataFrame:
-    """K-means on one column; clusters carry the names in the order of their means."""
-    known = VectorAssembler(inputCols=[column], outputCol="__x").transform(df.where(F.col(column).isNotNull()))
-    model = KMeans(k=len(names), seed=seed, featuresCol="__x", predictionCol="__cluster").fit(known)
-    centres = sorted(range(len(model.clusterCenters())), key=lambda i: model.clusterCenters()[i][0])
-    label = first_match([(F.col("__cluster") == i, names[rank]) for rank, i in enumerate(centres)])
-    return model.transform(known).withColumn(out, label).drop("__x", "__cluster")
+#: Places of the sorted values that the driver looks at in one round, at most.
+MARKS = 2048
+#: Cuts whose costs differ by less than this share of the total cost are equal; the lowest win.
+EQUAL = 1e-11
+
+
+def _cost(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared distances from the mean of the values between two places, from running (count, sum, sum of squares)."""
+    n, s, q = (high - low).T
+    return np.where(n > 0, np.maximum(q - s * s / np.where(n > 0, n, 1), 0.0), 0.0)
+
+
+def _best_cuts(marks: np.ndarray, k: int, slack: float) -> tuple[float, list[int]]:
+    """Least cost of k segments that end at marks, and the lowest marks that reach it."""
+    m = len(marks)
+    rest = [_cost(marks, np.broadcast_to(marks[-1], marks.shape))]
+    for _ in range(k - 1):
+        after = rest[-1]
+        rest.append(np.array([np.inf if i == m - 1 else (_cost(np.broadcast_to(marks[i], (m - i - 1, 3)), marks[i + 1 :]) + after[i + 1 :]).min() for i in range(m)]))
+    at, cuts, spent = 0, [], 0.0
+    for left in range(k - 1, 0, -1):
+        step = _cost(np.broadcast_to(marks[at], (m - at - 1, 3)), marks[at + 1 :])
+        total = spent + step + rest[left - 1][at + 1 :]
+        chosen = int(np.flatnonzero(total <= rest[k - 1][0] + slack)[0])
+        spent += step[chosen]
+        at += chosen + 1
+        cuts.append(at)
+    return float(rest[k - 1][0]), cuts
+
+
+def _possible(marks: np.ndarray, k: int, best: float) -> np.ndarray:
+    """For each block between neighbouring marks, whether one of the cuts may lie in it.
+
+    The values inside the blocks that hold cuts are left out of the bound, so it never
+    exceeds the cost of any way to cut there.
+    """
+    low, high = marks[:-1], marks[1:]
+    m = len(low)
+    before = [_cost(np.broadcast_to(marks[0], low.shape), low)]
+    after = [_cost(high, np.broadcast_to(marks[-1], high.shape))]
+    for _ in range(k - 2):
+        grown = before[-1].copy()  # the cut before lies in the same block
+        for b in range(1, m):
+            grown[b] = min(grown[b], (before[-1][:b] + _cost(high[:b], np.broadcast_to(low[b], (b, 3)))).min())
+        before.append(grown)
+        grown = after[-1].copy()
+        for b in range(m - 1):
+            grown[b] = min(grown[b], (after[-1][b + 1 :] + _cost(np.broadcast_to(high[b], (m - b - 1, 3)), low[b + 1 :])).min())
+        after.append(grown)
+    return np.any([x + y <= best for x, y in zip(before, reversed(after))], axis=0)
+
+
+def least_cost_cuts(df: DataFrame, column: str, k: int) -> list[float]:
+    """The last value of each but the last of the k intervals with the least sum of squared distances from their means.
+
+    Exact for any number of values. Running counts and sums over the sorted distinct
+    values give the cost of any interval. The driver sees these sums at a bounded number
+    of places, finds the blocks between them in which no best cut can lie, and looks
+    closer at the others, until each holds one value. With fewer distinct values than k
+    every value is an interval.
+    """
+    if k < 2:
+        return []
+    centre = df.agg(F.avg(column)).first()[0] or 0.0
+    x = F.col(column).cast("double") - F.lit(float(centre))
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("value")).agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.sum(x).alias("s"), F.sum(x * x).alias("q")
+    )
+    sums = cut_lineage(order_stats(counts, "value", tie="value", row_number="place", running={"un": "n", "us": "s", "uq": "q"}, settle=True))
+    m = sums.count()
+    if m <= k:
+        return [r["value"] for r in sums.orderBy("value").collect()][: max(m - 1, 0)]
+
+    def at(places: list[int]) -> np.ndarray:
+        held = {r["place"]: (r["un"], r["us"], r["uq"]) for r in sums.where(F.col("place").isin(places)).collect()}
+        return np.array([held.get(p, (0.0, 0.0, 0.0)) for p in places])
+
+    step = max(1, m * 2 // MARKS)
+    places = sorted({0, m, *range(step, m, step)})
+    while True:
+        marks = at(places)
+        slack = EQUAL * float(_cost(marks[:1], marks[-1:])[0])
+        best, cuts = _best_cuts(marks, k, slack) if len(places) > k else (np.inf, [])
+        open_ = [(a, b) for a, b, may in zip(places, places[1:], _possible(marks, k, best + slack)) if may]
+        wide = [(a, b) for a, b in open_ if b - a > 1]
+        if not wide:
+            ends = [places[c] for c in cuts]
+            return [r["value"] for r in sums.where(F.col("place").isin(ends)).orderBy("place").collect()]
+        parts = max(2, MARKS // (2 * len(wide)))
+        finer = {a + (b - a) * i // parts for a, b in wide for i in range(parts + 1)}
+        places = sorted({0, m, *(places[c] for c in cuts), *(p for ab in open_ for p in ab), *finer})
+
+
+def named_clusters(df: DataFrame, column: str, names: Sequence[str], out: str) -> DataFrame:
+    """Least-squares clusters of one column; they carry the names in the order of their means. Nulls are left out."""
+    known = df.where(F.col(column).isNotNull())
+    ends = least_cost_cuts(known, column, len(names))
+    label = first_match([(F.col(column).cast("double") <= F.lit(e), name) for e, name in zip(ends, names)], names[len(ends)])
+    return known.withColumn(out, label)
 
 
 def logistic(weights: dict[str, float], intercept: float) -> dict:

@@ -14,7 +14,19 @@ from tidemill.operators import models
 from tidemill.plans.registry import Tables, query
 
 
-@query("ml_cluster_rank")
+@query(
+    "ml_cluster_rank",
+    """WITH c AS (SELECT avg(p_retailprice) AS m FROM part),
+            g AS (SELECT p_retailprice AS x, count(*)::DOUBLE AS n, sum(p_retailprice - m) AS s, sum((p_retailprice - m) * (p_retailprice - m)) AS q FROM part, c GROUP BY 1),
+            p AS (SELECT x, row_number() OVER w AS i, sum(n) OVER w AS n, sum(s) OVER w AS s, sum(q) OVER w AS q FROM g WINDOW w AS (ORDER BY x)),
+            t AS (SELECT * FROM p ORDER BY i DESC LIMIT 1),
+            k AS (SELECT a.x AS low, b.x AS high, a.i AS i, b.i AS j, a.q - a.s * a.s / a.n + b.q - a.q - (b.s - a.s) * (b.s - a.s) / (b.n - a.n)
+                         + t.q - b.q - (t.s - b.s) * (t.s - b.s) / (t.n - b.n) AS cost, t.q - t.s * t.s / t.n AS total
+                  FROM p a, p b, t WHERE a.i < b.i AND b.i < t.i),
+            best AS (SELECT low, high FROM k WHERE cost <= (SELECT min(cost) FROM k) + 1e-11 * total ORDER BY i, j LIMIT 1)
+       SELECT CASE WHEN p_retailprice <= low THEN 'low_Returns' WHEN p_retailprice <= high THEN 'med_Returns' ELSE 'high_Returns' END AS cluster,
+              count(*) AS n, min(p_retailprice) AS least, max(p_retailprice) AS most FROM part, best GROUP BY 1""",
+)
 def cluster_rank(t: Tables) -> DataFrame:
     names = ["low_Returns", "med_Returns", "high_Returns"]
     out = models.named_clusters(t.part.select("p_partkey", "p_retailprice"), "p_retailprice", names, "cluster")
