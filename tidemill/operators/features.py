@@ -44,10 +44,56 @@ def conditional_sum(test: Column, value: Column) -> Column:
     return dbl(F.coalesce(F.sum(F.when(test, value)), F.lit(0)))
 
 
+Span = tuple[datetime.date | None, datetime.date | None]
+
+
+def segment_sums(df: DataFrame, key: str, date: str, sums: dict[str, Column], windows: dict[str, tuple[str, Span]]) -> DataFrame:
+    """One row per key with a column per window: the sum named by it over after < date <= upto.
+
+    The axis is cut at the ends of all windows, and the facts are summed once per key and
+    segment, partly before the shuffle. A key then has at most one line per segment; what
+    lies up to each end is summed from these lines, and a window is the difference at its
+    two ends, however many windows there are and however they overlap. Rows without a date
+    belong to no window; a window without any fact gives 0. Decimal sums are carried as
+    whole numbers of their last digit and come out as doubles.
+    """
+    ends = sorted({e for _, span in windows.values() for e in span if e is not None})
+    segment = sum(((F.col(date) > F.lit(e)).cast("int") for e in ends), F.lit(0))
+    used = {source for source, _ in windows.values()}
+    cells = df.where(F.col(date).isNotNull()).groupBy(key, segment.alias("__segment")).agg(*[v.alias(f"__{n}") for n, v in sums.items() if n in used])
+    scale = {n: getattr(cells.schema[f"__{n}"].dataType, "scale", None) for n in used}
+    cells = cells.withColumns({f"__{n}": (F.col(f"__{n}") * F.lit(10**d)).cast("long") for n, d in scale.items() if d is not None})
+    place = {e: i for i, e in enumerate(ends)} | {None: len(ends)}
+    marks = sorted({(source, place[e]) for source, (after, upto) in windows.values() for e in ({upto} if after is None else {upto, after})})
+    upto_mark = [F.coalesce(F.sum(F.when(F.col("__segment") <= i, F.col(f"__{n}"))), F.lit(0)).alias(f"__{n}_{i}") for n, i in marks]
+    lines = cells.groupBy(key).agg(*upto_mark)
+    out = []
+    for name, (source, (after, upto)) in windows.items():
+        total = F.col(f"__{source}_{place[upto]}")
+        total = total - F.col(f"__{source}_{place[after]}") if after is not None else total
+        out.append((total if scale[source] is None else dbl(total) / F.lit(float(10 ** scale[source]))).alias(name))
+    return lines.select(key, *out)
+
+
+def trailing_spans(as_of: datetime.date) -> dict[str, Span]:
+    """The last 3, 3 to 9, 12 and 12 to 24 months, bounds at month ends."""
+    e = lambda k: month_end(as_of, k)
+    return {"3mon": (e(3), None), "3_6mon": (e(9), e(3)), "12mon": (e(12), None), "12_24mon": (e(24), e(12))}
+
+
+def average_spans(as_of: datetime.date, months: int) -> dict[int, Span]:
+    """The months that end at each of the last eleven month ends."""
+    return {k: (months_before(month_end(as_of, k), months), month_end(as_of, k)) for k in range(1, 12)}
+
+
+def snapshot_spans(as_of: datetime.date, lags: Sequence[int]) -> dict[int, Span]:
+    """The single months that end ``lag`` months back."""
+    return {lag: (month_end(as_of, lag + 1), month_end(as_of, lag)) for lag in lags}
+
+
 def trailing(as_of: datetime.date, date: str, value: str, prefix: str = "rollup") -> list[Column]:
     """Sums and counts of the last 3, 3 to 9, 12 and 12 to 24 months, bounds at month ends."""
-    e = lambda k: month_end(as_of, k)
-    spans = {"3mon": (e(3), None), "3_6mon": (e(9), e(3)), "12mon": (e(12), None), "12_24mon": (e(24), e(12))}
+    spans = trailing_spans(as_of)
     amount = money(value)
     sums = [conditional_sum(between(date, *span), amount).alias(f"{prefix}_{n}sales") for n, span in spans.items()]
     counts = [
@@ -56,17 +102,6 @@ def trailing(as_of: datetime.date, date: str, value: str, prefix: str = "rollup"
     return sums + counts
 
 
-def moving_averages(as_of: datetime.date, date: str, value: str, months: int, name: str, count: bool = False) -> list[Column]:
-    """Average over the ``months`` that end at each of the last eleven month ends."""
-    out = []
-    for k in range(1, 12):
-        end = month_end(as_of, k)
-        test = between(date, months_before(end, months), end)
-        total = F.count_if(test & (F.col(value) > 0)) if count else conditional_sum(test, money(value))
-        out.append((dbl(total) / months).alias(f"{name}_{k}"))
-    return out
-
-
 def slope(points: Sequence[Column]) -> Column:
     """Least-squares slope over x = 1, 2, ..: fixed weights, so a plain expression."""
     n = len(points)
@@ -143,9 +178,38 @@ def rfm(df: DataFrame, key: str, date: str, value: str, after: datetime.date, up
     ).withColumn("rfm", F.col("r_class") * 100 + F.col("f_class") * 10 + F.col("m_class"))
 
 
+def rfm_halves(df: DataFrame, key: str, date: str, value: str, spans: dict[str, Span]) -> DataFrame:
+    """``rfm`` of several windows in one pass over the facts: a class column per window, null without facts in it."""
+    columns = []
+    for name, (after, upto) in spans.items():
+        test = between(date, after, upto)
+        columns += [
+            F.datediff(F.lit(upto), F.max(F.when(test, F.col(date)))).alias(f"recency_{name}"),
+            F.nullif(F.count_if(test), F.lit(0)).alias(f"frequency_{name}"),
+            dbl(F.sum(F.when(test, money(value)))).alias(f"monetary_{name}"),
+        ]
+    each = cut_lineage(df.groupBy(key).agg(*columns))
+    cuts = exact_quantiles(each, [c for c in each.columns if c != key], {"lo": 0.333, "hi": 0.667}).first()
+    out = []
+    for name in spans:
+        r, f, m = (F.col(f"{c}_{name}") for c in ("recency", "frequency", "monetary"))
+        low, high = ([cuts[f"{c}_{name}_{side}"] for c in ("recency", "frequency", "monetary")] for side in ("lo", "hi"))
+        classes = (
+            F.when(r < low[0], 3).when(r < high[0], 2).otherwise(1) * 100
+            + F.when(f <= low[1], 1).when(f <= high[1], 2).otherwise(3) * 10
+            + F.when(m <= low[2], 1).when(m < high[2], 2).otherwise(3)
+        )
+        out.append(F.when(f.isNotNull(), classes).alias(name))
+    return each.select(key, *out)
+
+
 def rfm_movement(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
     """Movement between two halves; a contact without a class counts as 111."""
-    both = first.select(key, F.col("rfm").alias("rfm_f6")).join(second.select(key, F.col("rfm").alias("rfm_s6")), key, "full")
+    return movement(first.select(key, F.col("rfm").alias("rfm_f6")).join(second.select(key, F.col("rfm").alias("rfm_s6")), key, "full"))
+
+
+def movement(both: DataFrame) -> DataFrame:
+    """Adds the changes of each class from ``rfm_f6`` to ``rfm_s6`` and what they amount to; null classes become 111."""
     both = both.na.fill(111, ["rfm_f6", "rfm_s6"])
     digit = lambda c, d: F.floor(F.col(c) / d).cast("int") % 10
     moved = both.withColumns({n: digit("rfm_s6", d) - digit("rfm_f6", d) for n, d in (("r", 100), ("f", 10), ("m", 1))})

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemill.functions.columns import dbl, money, rounded
 from tidemill.operators import features as ft
 from tidemill.operators.columns import growth_sign, safe_ratio
 from tidemill.operators.ordered import exact_quantiles
 from tidemill.plans.registry import Tables, query
+from tidemill.session import cut_lineage
 
 AS_OF = datetime.date(2001, 7, 31)
 LAGS = [0, 3, 6, 9, 12, 15, 18, 21]
@@ -70,13 +71,21 @@ def _average_sql(months: int, name: str, count: bool = False) -> str:
 AVERAGES_SQL = f"{_average_sql(12, 'avg12')}, {_average_sql(3, 'avg3')}, {_average_sql(12, 'freq12', True)}"
 
 
+def measures() -> dict[str, Column]:
+    """What is summed per segment: amounts, bookings of 0 or more, above 0 and of 0, and redemptions."""
+    redeemed = F.when(F.col("o_orderstatus") == "F", -money("sales")).otherwise(0)
+    tests = {"booked": F.col("sales") >= 0, "bought": F.col("sales") > 0, "nothing": F.col("sales") == 0}
+    return {"sales": F.sum(money("sales")), "redeemed": F.sum(redeemed)} | {n: F.count_if(test) for n, test in tests.items()}
+
+
 @query("feat_moving_avg", f"SELECT o_custkey AS cgi, {AVERAGES_SQL} FROM orders GROUP BY 1")
 def moving_avg(t: Tables) -> DataFrame:
-    return sales(t).groupBy("cgi").agg(
-        *ft.moving_averages(AS_OF, "date", "sales", 12, "avg12"),
-        *ft.moving_averages(AS_OF, "date", "sales", 3, "avg3"),
-        *ft.moving_averages(AS_OF, "date", "sales", 12, "freq12", count=True),
-    )
+    """Averages of 12 and 3 months and of 12-month counts at eleven month ends: 33 windows from one sum per segment."""
+    spans = {("avg12", "sales"): 12, ("avg3", "sales"): 3, ("freq12", "bought"): 12}
+    windows = {f"{n}_{k}": (source, span) for (n, source), m in spans.items() for k, span in ft.average_spans(AS_OF, m).items()}
+    wanted = {n: v for n, v in measures().items() if n in ("sales", "bought")}
+    found = ft.segment_sums(sales(t), "cgi", "date", wanted, windows)
+    return found.select("cgi", *[(dbl(F.col(f"{n}_{k}")) / m).alias(f"{n}_{k}") for (n, _), m in spans.items() for k in range(1, 12)])
 
 
 SLOPE_SQL = f"""SELECT o_custkey AS cgi, {_average_sql(12, 'avg12')}, {_sum(E12, None, 's12')} FROM orders GROUP BY 1"""
@@ -90,12 +99,11 @@ SLOPE_SQL = f"""SELECT o_custkey AS cgi, {_average_sql(12, 'avg12')}, {_sum(E12,
                CAST(round(CAST(greatest((slope + mean) * 12, 0.0) AS DECIMAL(24,8)), 2) AS DOUBLE) AS proj_sales FROM r""",
 )
 def slope(t: Tables) -> DataFrame:
-    year_start = ft.month_end(AS_OF, 12)
-    base = sales(t).groupBy("cgi").agg(
-        *ft.moving_averages(AS_OF, "date", "sales", 12, "avg12"),
-        ft.conditional_sum(ft.between("date", year_start, None), money("sales")).alias("s12"),
-    )
-    mean = F.col("s12") / 12
+    windows = {f"avg12_{k}": ("sales", span) for k, span in ft.average_spans(AS_OF, 12).items()}
+    windows["s12"] = ("sales", (ft.month_end(AS_OF, 12), None))
+    totals = ft.segment_sums(sales(t), "cgi", "date", {"sales": measures()["sales"]}, windows)
+    base = totals.select("cgi", *[(dbl(F.col(n)) / 12).alias(n) for n in windows])
+    mean = F.col("s12")
     rise = ft.slope([F.col(f"avg12_{k}") for k in range(11, 0, -1)] + [mean])
     return base.select(
         "cgi", rounded(rise, 4).alias("sales_slope"), rounded(ft.projection(rise, mean), 2).alias("proj_sales")
@@ -186,35 +194,38 @@ MOVEMENT_SQL = f"""WITH j AS (SELECT coalesce(a.cgi, b.cgi) AS cgi, coalesce(a.r
            WHEN r = 0 AND f = 0 AND m = 0 THEN 'stayed' WHEN r + f + m > 0 THEN 'marginally gained' WHEN r + f + m < 0 THEN 'marginally dropped' ELSE 'ambiguous' END AS movement FROM d"""
 
 
-def movement_of(t: Tables) -> DataFrame:
+def movement_of(facts: DataFrame) -> DataFrame:
+    """Classes of two half-years and the movement between them, for contacts with facts in either."""
     middle = ft.months_before(AS_OF, 6)
-    first = ft.rfm(sales(t), "cgi", "date", "sales", ft.months_before(AS_OF, 12), middle)
-    second = ft.rfm(sales(t), "cgi", "date", "sales", middle, AS_OF)
-    return ft.rfm_movement(first, second, "cgi")
+    halves = ft.rfm_halves(facts, "cgi", "date", "sales", {"rfm_f6": (ft.months_before(AS_OF, 12), middle), "rfm_s6": (middle, AS_OF)})
+    return ft.movement(halves.where("rfm_f6 IS NOT NULL OR rfm_s6 IS NOT NULL"))
 
 
 @query("feat_rfm_movement", MOVEMENT_SQL)
 def rfm_movement(t: Tables) -> DataFrame:
-    return movement_of(t)
+    return movement_of(sales(t))
 
 
 def lead_features(t: Tables) -> DataFrame:
-    """Features per customer: sales, balances, activity, funds, RFM. One pass over the orders."""
-    facts = sales(t)
-    limit = exact_quantiles(facts, "sales", {"p995": 0.995})
-    clipped = facts.withColumn("sales", F.least("sales", limit.scalar()))
-    redeemed = F.when(F.col("o_orderstatus") == "F", -money("sales")).otherwise(0)
+    """Features per customer: sales, balances, activity, funds, RFM. The orders are scanned once, into a narrow copy."""
+    day, price = F.to_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("sales")
+    facts = cut_lineage(t.orders.select("o_orderkey", F.col("o_custkey").alias("cgi"), day, price, "o_orderstatus"))
+    limit = exact_quantiles(facts, "sales", {"p995": 0.995}).first()["p995"]
+    clipped = facts.withColumn("sales", F.least("sales", F.lit(limit)))
     e12, e24 = ft.month_end(AS_OF, 12), ft.month_end(AS_OF, 24)
-    base = clipped.groupBy("cgi").agg(
-        *ft.trailing(AS_OF, "date", "sales"),
-        *ft.snapshots(AS_OF, "date", "sales", LAGS, "aum"),
-        *ft.moving_averages(AS_OF, "date", "sales", 12, "avg12"),
-        *ft.moving_averages(AS_OF, "date", "sales", 3, "avg3"),
-        *ft.moving_averages(AS_OF, "date", "sales", 12, "freq12", count=True),
-        ft.conditional_sum(ft.between("date", e12, None), redeemed).alias("rollup_12monredemptions"),
-        ft.conditional_sum(ft.between("date", e24, e12), redeemed).alias("rollup_12_24monredemptions"),
-        F.count_if(ft.between("date", e12, None) & (F.col("sales") == 0)).alias("sales0_in12mon"),
-    )
+    spans = ft.trailing_spans(AS_OF)
+    averages = {"avg12": ("sales", 12), "avg3": ("sales", 3), "freq12": ("bought", 12)}
+    windows = {f"rollup_{n}sales": ("sales", span) for n, span in spans.items()}
+    windows |= {f"rollup_{n}freq": ("booked", spans[n]) for n in ("3mon", "3_6mon", "12mon")}
+    windows |= {f"aum_{lag}": ("sales", span) for lag, span in ft.snapshot_spans(AS_OF, LAGS).items()}
+    windows |= {f"{n}_{k}": (source, span) for n, (source, m) in averages.items() for k, span in ft.average_spans(AS_OF, m).items()}
+    windows |= {"rollup_12monredemptions": ("redeemed", (e12, None)), "rollup_12_24monredemptions": ("redeemed", (e24, e12))}
+    windows["sales0_in12mon"] = ("nothing", (e12, None))
+    totals = ft.segment_sums(clipped, "cgi", "date", measures(), windows)
+    amounts = [n for n, (source, _) in windows.items() if source in ("sales", "redeemed")]
+    base = totals.withColumns(
+        {n: dbl(F.col(n)) for n in amounts}
+    ).withColumns({f"{n}_{k}": dbl(F.col(f"{n}_{k}")) / m for n, (_, m) in averages.items() for k in range(1, 12)})
     c = F.col
     back = lambda name: [c(f"{name}_{k}") for k in range(11, 0, -1)]
     year, quarter = c("rollup_12monsales") / 12, c("rollup_3monsales") / 3
@@ -260,7 +271,7 @@ def lead_features(t: Tables) -> DataFrame:
     activity = t.events.groupBy(c("user_id").alias("cgi")).agg(
         F.count_if(kind == "CALL").alias("call_12m"), F.count_if(kind == "VISIT").alias("visit_12m")
     )
-    recent = t.orders.where(F.to_date("o_orderdate") > F.lit(e12)).select("o_orderkey", c("o_custkey").alias("cgi"))
+    recent = facts.where(c("date") > F.lit(e12)).select("o_orderkey", "cgi")
     brands = t.part.select(c("p_partkey").alias("l_partkey"), "p_brand")
     funds = (
         t.lineitem.select(c("l_orderkey").alias("o_orderkey"), "l_partkey")
@@ -272,7 +283,7 @@ def lead_features(t: Tables) -> DataFrame:
         .agg(F.count_distinct("p_brand").alias("num_funds_sales"))
     )
     months = ft.months_over(clipped, "cgi", "date", "sales", e12, 1000, "salesgt1000")
-    moves = movement_of(t).select("cgi", "rfm_f6", "rfm_s6", c("r").alias("r_move"), c("f").alias("f_move"), c("m").alias("m_move"), "movement")
+    moves = movement_of(facts).select("cgi", "rfm_f6", "rfm_s6", c("r").alias("r_move"), c("f").alias("f_move"), c("m").alias("m_move"), "movement")
     contacts = t.customer.select(c("c_custkey").alias("cgi"))
     joined = contacts
     for part in (shaped, activity, funds, months, moves):
@@ -284,14 +295,82 @@ def lead_features(t: Tables) -> DataFrame:
     )
 
 
+def _filled(expression: str, name: str) -> str:
+    return f"coalesce({expression}, 0) AS {name}"
+
+
+def _rounded(expression: str, digits: int, name: str) -> str:
+    return f"coalesce(CAST(round(CAST({expression} AS DECIMAL(24,8)), {digits}) AS DOUBLE), 0.0) AS {name}"
+
+
+def _sign(recent: str, past: str) -> str:
+    return f"CAST(CASE WHEN trunc({recent}) > trunc({past}) THEN 1 WHEN trunc({recent}) < trunc({past}) THEN -1 ELSE 0 END AS INTEGER)"
+
+
+PROJ, PROJ3 = "greatest((slope + rollup_12monsales / 12) * 12, 0.0)", "greatest((slope3 + rollup_3monsales / 3) * 12, 0.0)"
+AUM_MEAN = f"(({' + '.join(f'aum_{k}' for k in LAGS)}) / 8)"
+#: Columns that are divided by a trend or come out of one are compared after rounding.
+TRENDS = {
+    "aum_slope": 3, "salesslope": 4, "salesslope_3mon": 4, "salesfreqslope": 6, "proj_sales": 2, "proj_sales_3mon": 2, "salesslope_byavg": 5,
+    "salesslope_byavg_3mon": 5, "salesfreqslope_byavg": 5, "aumslope_byavg": 5, "aum_qtrlyavg": 2,
+}
+TREND_SQL = {
+    "aum_slope": "aslope", "salesslope": "slope", "salesslope_3mon": "slope3", "salesfreqslope": "fslope", "proj_sales": PROJ, "proj_sales_3mon": PROJ3,
+    "salesslope_byavg": "CASE WHEN rollup_12monsales / 12 = 0 THEN 0.0 ELSE slope / (rollup_12monsales / 12) END",
+    "salesslope_byavg_3mon": "CASE WHEN rollup_3monsales / 3 = 0 THEN 0.0 ELSE slope3 / (rollup_3monsales / 3) END",
+    "salesfreqslope_byavg": "CASE WHEN rollup_12monfreq = 0 THEN 0.0 ELSE fslope / (rollup_12monfreq / 12) END",
+    "aumslope_byavg": f"CASE WHEN {AUM_MEAN} > 0 THEN aslope / {AUM_MEAN} ELSE 0.0 END",
+    "aum_qtrlyavg": AUM_MEAN,
+}
+PLAIN = [
+    "rollup_3monsales", "rollup_3_6monsales", "rollup_12monsales", "rollup_12_24monsales", "rollup_3monfreq", "rollup_3_6monfreq", "rollup_12monfreq",
+    *(f"aum_{k}" for k in LAGS), *(f"{n}_{k}" for n in ("avg12", "avg3", "freq12") for k in range(1, 12)), "call_12m", "visit_12m", "num_funds_sales",
+    "salesgt1000", "sales0_in12mon",
+]
+DERIVED_SQL = {
+    "rollup_12monredemptions": "red12",
+    "rollup_12_24monredemptions": "red24",
+    "last_12mon_monthly_avg_sales": "rollup_12monsales / 12",
+    "last_3mon_monthly_avg_sales": "rollup_3monsales / 3",
+    "last_12_month_freq_avg": "rollup_12monfreq / 12",
+    "netsales12m": "net12",
+    "netsales12_24m": "net24",
+    "prev_3monthsales": "rollup_3_6monsales / 3",
+    "prev_3monthfreq": "rollup_3_6monfreq / 3",
+    "avg_historical_12monsales": "(rollup_12monsales + rollup_12_24monsales) / 2",
+    "max_historical_12monsales": "greatest(rollup_12monsales, rollup_12_24monsales)",
+    "max_aum_2years": f"greatest({', '.join(f'aum_{k}' for k in LAGS)})",
+    "aum_gt_1m": "CAST(aum_0 >= 1000000 AS INTEGER)",
+    "sales_gt_100k_2years": "CAST(rollup_12monsales >= 100000 OR rollup_12_24monsales >= 100000 AS INTEGER)",
+    "sales_recent_freqgrowth": _sign("rollup_3monfreq", "rollup_3_6monfreq / 2"),
+    "sales_recent_growth": _sign("rollup_3monsales", "rollup_3_6monsales / 2"),
+    "last24msales": "rollup_12monsales + rollup_12_24monsales",
+    "last24mredemptions": "red12 + red24",
+    "r_move": "r",
+    "f_move": "f",
+    "m_move": "m",
+    "total_activity": "call_12m + visit_12m",
+}
+LABEL_SQL = f"""CASE WHEN net12 IS NULL THEN 'Holding Asset' ELSE {SEGMENT_SQL} END AS nsales_segment,
+    CASE WHEN {PROJ3} IS NULL OR ({PROJ3} = 0 AND {PROJ} = 0) THEN '0' WHEN {PROJ3} * 4 > {PROJ} THEN 'Short Term Momentum' WHEN {PROJ3} * 4 < {PROJ} THEN 'Long Term Momentum'
+         ELSE 'Consistent' END AS momentum,
+    CASE WHEN rollup_12monsales > 0 OR aum_0 > 0 THEN 'active' ELSE 'dormant' END AS active_dormant,
+    coalesce(rfm_f6, 111) AS rfm_f6, coalesce(rfm_s6, 111) AS rfm_s6, coalesce(movement, 'ambiguous') AS movement"""
+FEATURES_SQL = ", ".join(
+    [_filled(n, n) for n in PLAIN] + [_filled(e, n) for n, e in DERIVED_SQL.items()] + [_rounded(e, TRENDS[n], n) for n, e in TREND_SQL.items()]
+)
+
+
 @query(
     "pipe_lead_features",
     f"""WITH clip AS (SELECT o_custkey, o_orderdate, o_orderstatus, least(o_totalprice, (SELECT quantile_cont(o_totalprice, 0.995) FROM orders)) AS o_totalprice FROM orders),
       b AS (SELECT o_custkey AS cgi, {TRAILING_SQL}, {SNAPSHOT_SQL}, {AVERAGES_SQL},
+              count(*) FILTER (WHERE {D} > DATE '{E12}' AND o_totalprice = 0) AS sales0_in12mon,
               CAST(coalesce(sum(CASE WHEN o_orderstatus = 'F' THEN -{AMT} ELSE 0 END) FILTER (WHERE {D} > DATE '{E12}'), 0) AS DOUBLE) AS red12,
               CAST(coalesce(sum(CASE WHEN o_orderstatus = 'F' THEN -{AMT} ELSE 0 END) FILTER (WHERE {_span(E24, E12)}), 0) AS DOUBLE) AS red24 FROM clip GROUP BY 1),
-      l AS (SELECT cgi, unnest([{', '.join(f'avg12_{k}' for k in range(11, 0, -1))}, rollup_12monsales / 12]) AS y, unnest([{', '.join(f'avg3_{k}' for k in range(11, 0, -1))}, rollup_3monsales / 3]) AS y3, unnest(range(1, 13)) AS x FROM b),
-      s AS (SELECT cgi, regr_slope(y, x) AS slope, regr_slope(y3, x) AS slope3 FROM l GROUP BY 1),
+      l AS (SELECT cgi, unnest([{', '.join(f'avg12_{k}' for k in range(11, 0, -1))}, rollup_12monsales / 12]) AS y, unnest([{', '.join(f'avg3_{k}' for k in range(11, 0, -1))}, rollup_3monsales / 3]) AS y3,
+              unnest([{', '.join(f'freq12_{k}' for k in range(11, 0, -1))}, rollup_12monfreq / 12]) AS yf, unnest(range(1, 13)) AS x FROM b),
+      s AS (SELECT cgi, regr_slope(y, x) AS slope, regr_slope(y3, x) AS slope3, regr_slope(yf, x) AS fslope FROM l GROUP BY 1),
       al AS (SELECT cgi, unnest([{', '.join(f'aum_{k}' for k in reversed(LAGS))}]) AS y, unnest(range(1, 9)) AS x FROM b),
       a AS (SELECT cgi, regr_slope(y, x) AS aslope FROM al GROUP BY 1),
       net AS (SELECT *, rollup_12monsales + red12 AS net12, rollup_12_24monsales + red24 AS net24 FROM b),
@@ -299,34 +378,10 @@ def lead_features(t: Tables) -> DataFrame:
       fund AS (SELECT o_custkey AS cgi, count(DISTINCT p_brand) AS num_funds_sales FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey WHERE {D} > DATE '{E12}' GROUP BY 1),
       mon AS (SELECT o_custkey AS cgi, count(*) AS salesgt1000 FROM (SELECT o_custkey, strftime(o_orderdate, '%Y-%m') AS m, sum({AMT}) AS s FROM clip WHERE {D} > DATE '{E12}' GROUP BY ALL) WHERE s >= 1000 GROUP BY 1),
       mv AS ({MOVEMENT_SQL})
-    SELECT c_custkey AS cgi, coalesce(rollup_12monsales, 0.0) AS rollup_12monsales, coalesce(rollup_12_24monsales, 0.0) AS rollup_12_24monsales, coalesce(aum_0, 0.0) AS aum_0,
-           coalesce(greatest({', '.join(f'aum_{k}' for k in LAGS)}), 0.0) AS max_aum_2years,
-           coalesce(CAST(round(CAST(aslope AS DECIMAL(24,8)), 3) AS DOUBLE), 0.0) AS aum_slope,
-           coalesce(CAST(round(CAST(greatest((slope + rollup_12monsales / 12) * 12, 0.0) AS DECIMAL(24,8)), 2) AS DOUBLE), 0.0) AS proj_sales,
-           coalesce(CAST(round(CAST(greatest((slope3 + rollup_3monsales / 3) * 12, 0.0) AS DECIMAL(24,8)), 2) AS DOUBLE), 0.0) AS proj_sales_3mon,
-           coalesce(CAST(CASE WHEN rollup_3monfreq > trunc(rollup_3_6monfreq / 2) THEN 1 WHEN rollup_3monfreq < trunc(rollup_3_6monfreq / 2) THEN -1 ELSE 0 END AS INTEGER), 0) AS sales_recent_freqgrowth,
-           CASE WHEN net12 IS NULL THEN 'Holding Asset' ELSE {SEGMENT_SQL} END AS nsales_segment, coalesce(call_12m, 0) AS call_12m, coalesce(call_12m + visit_12m, 0) AS total_activity,
-           coalesce(num_funds_sales, 0) AS num_funds_sales, coalesce(salesgt1000, 0) AS salesgt1000, coalesce(rfm_f6, 111) AS rfm_f6, coalesce(rfm_s6, 111) AS rfm_s6, coalesce(movement, 'ambiguous') AS movement
+    SELECT c_custkey AS cgi, {FEATURES_SQL}, {LABEL_SQL}
     FROM customer LEFT JOIN net ON c_custkey = net.cgi LEFT JOIN s ON c_custkey = s.cgi LEFT JOIN a ON c_custkey = a.cgi LEFT JOIN act ON c_custkey = act.cgi
          LEFT JOIN fund ON c_custkey = fund.cgi LEFT JOIN mon ON c_custkey = mon.cgi LEFT JOIN mv ON c_custkey = mv.cgi""",
 )
 def pipe_lead_features(t: Tables) -> DataFrame:
-    return lead_features(t).select(
-        "cgi",
-        "rollup_12monsales",
-        "rollup_12_24monsales",
-        "aum_0",
-        "max_aum_2years",
-        rounded("aum_slope", 3).alias("aum_slope"),
-        rounded("proj_sales", 2).alias("proj_sales"),
-        rounded("proj_sales_3mon", 2).alias("proj_sales_3mon"),
-        "sales_recent_freqgrowth",
-        "nsales_segment",
-        "call_12m",
-        "total_activity",
-        "num_funds_sales",
-        "salesgt1000",
-        "rfm_f6",
-        "rfm_s6",
-        "movement",
-    )
+    found = lead_features(t)
+    return found.select([rounded(c, TRENDS[c]).alias(c) if c in TRENDS else F.col(c) for c in found.columns])
