@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemill.functions import dates
+from tidemill.functions.columns import epoch_us
 
 
 def calendar(span: DataFrame, first: str, last: str) -> DataFrame:
@@ -81,6 +82,10 @@ UNITS = {
 }
 
 
+#: Units that are listed inside coarser ones: the coarser unit, its step, and seconds of the unit.
+COARSE = {"second": ("day", "1 day", 1), "minute": ("day", "1 day", 60), "hour": ("month", "1 month", 3600), "day": ("year", "1 year", 86400)}
+
+
 def expand_period(df: DataFrame, begin: str, end: str, unit: str, anchor: str = "begin") -> DataFrame:
     """One row per unit that a half-open period touches, the first at the unit's own begin.
 
@@ -88,11 +93,22 @@ def expand_period(df: DataFrame, begin: str, end: str, unit: str, anchor: str =
     millisecond. ``seq`` counts from 0. A period without length gives no row.
     """
     name, step = UNITS[unit]
-    interval = F.expr(f"interval {step}")
+    interval, moment = F.expr(f"interval {step}"), F.expr("interval 1 microsecond")
     first = F.date_trunc(name, F.col(begin).cast("timestamp")).cast("timestamp_ntz")
-    stop = F.col(end).cast("timestamp_ntz") - F.expr("interval 1 microsecond")
-    slots = F.when(F.col(begin) < F.col(end), F.sequence(first, stop, interval))
-    out = df.select("*", F.posexplode(slots).alias("seq", "unit_at"))
+    stop = F.col(end).cast("timestamp_ntz") - moment
+    if unit not in COARSE:
+        slots = F.when(F.col(begin) < F.col(end), F.sequence(first, stop, interval))
+        out = df.select("*", F.posexplode(slots).alias("seq", "unit_at"))
+    else:
+        # Two steps, so that no row holds all units of a long period: coarse units first, then the units inside each.
+        outer, outer_step, length = COARSE[unit]
+        whole = F.date_trunc(outer, first.cast("timestamp")).cast("timestamp_ntz")
+        blocks = F.when(F.col(begin) < F.col(end), F.sequence(whole, stop, F.expr(f"interval {outer_step}")))
+        out = df.withColumns({"__first": first, "__stop": stop}).withColumn("__block", F.explode(blocks))
+        after = F.col("__block") + F.expr(f"interval {outer_step}") - moment
+        out = out.withColumn("unit_at", F.explode(F.sequence(F.greatest("__first", "__block"), F.least("__stop", after), interval)))
+        seq = F.call_function("div", epoch_us("unit_at") - epoch_us("__first"), F.lit(length * 1_000_000).cast("long")).cast("int")
+        out = out.select(*df.columns, seq.alias("seq"), "unit_at")
     if anchor == "end":
         out = out.withColumn("unit_at", F.col("unit_at") + interval - F.expr("interval 1 millisecond"))
     return out

@@ -8,6 +8,8 @@ from tidemill.functions.columns import dbl, money, month_label, rounded
 from tidemill.functions.labels import review_flag
 from tidemill.operators.ordered import order_stats
 from tidemill.plans.registry import Tables, query
+from tidemill.session import scratch_path
+from tidemill.sources.versions import VersionedTable
 
 KEYS = ["account_id", "customer_name", "account_type", "credit_limit", "year_month", "merchant_category"]
 
@@ -125,4 +127,7 @@ FROM w
 
 @query("pipe_monthly_spend", MONTHLY_SPEND_SQL)
 def pipe_monthly_spend(t: Tables) -> DataFrame:
-    return monthly_spend(accounts_of(t), transactions_of(t))
+    """The job with its sink: the result is published, and what is returned is read back."""
+    table = VersionedTable(t.spark, scratch_path(t.spark, "monthly-spend"))
+    table.publish(monthly_spend(accounts_of(t), transactions_of(t)))
+    return table.read()

@@ -11,6 +11,7 @@ from tidemill.operators.aggregates import guarded_percent
 from tidemill.plans.registry import Tables, query
 from tidemill.session import scratch_path
 from tidemill.sources.readers import date_bounded, read_csv
+from tidemill.sources.versions import VersionedTable
 from tidemill.sources.writers import write_csv
 
 RUN = "2024-10-01 06:00:00"
@@ -114,6 +115,10 @@ def pipe_store_metrics(t: Tables) -> DataFrame:
     return cdc.upsert(table, batch, ["store_id", "order_date"])
 
 
+#: First quarter of the window that the ratings job replaces.
+KPI_WINDOW = "2001 Q1"
+
+
 def stars(score: Column, cuts: list[Column], higher_is_better: bool) -> Column:
     """5 to 1 by four cuts, the best first; null for a null score."""
     reached = [score >= c if higher_is_better else score <= c for c in cuts]
@@ -209,7 +214,12 @@ def pipe_kpi_stars(t: Tables) -> DataFrame:
     thresholds = info.select("region", "quarter").distinct().withColumns(cuts)
     out = kpi_ratings(info, monthly, monthly, monthly, thresholds)
     names = ["store_id", "quarter", "region", "csat_score", "csat_penalty", "avg_wait_seconds", "inaccuracy_rate"]
-    return out.select(*names, "csat_star", "sos_star", "accuracy_star", "overall_star")
+    out = out.select(*names, "csat_star", "sos_star", "accuracy_star", "overall_star")
+    table = VersionedTable(t.spark, scratch_path(t.spark, "kpi-stars"), part_by="quarter")
+    table.publish(out)
+    # The load of a look-back window: its quarters are replaced, the others stay as they are.
+    table.replace_from(table.read().where(F.col("quarter") >= KPI_WINDOW), KPI_WINDOW)
+    return table.read()
 
 
 @query(
