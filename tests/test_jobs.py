@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.functions import dates, json as js, text as tx
+from tidemill.operators.changes import persisted
 from tidemill.operators import calendar as cal, columns as cols, features as ft, quality as dq, synthetic as syn
 from tidemill.plans import commerce
 from tidemill.session import cut_lineage
@@ -181,10 +182,44 @@ def test_contract_of_connectors(spark):
         readers.jdbc_options("jdbc:x:y", "SELECT 1", {}, partition_column="id")
     with pytest.raises(ValueError):
         readers.read_format(spark, "/nowhere", "xlsx")
-    assert spark.range(100).repartition(3).rdd.getNumPartitions() == 3
-    assert writers.jdbc_writer(spark.range(10), 3) is not None
+    rows = spark.range(100).repartition(8)
+    assert writers.jdbc_frame(rows, 3).rdd.getNumPartitions() == 3
 
 
 def test_cut_lineage_starts_from_files(spark):
     cut = cut_lineage(spark.range(10).groupBy((F.col("id") % 2).alias("k")).count())
     assert cut.inputFiles() and cut.count() == 2
+
+
+def test_paths_of_a_line(spark):
+    lines = {
+        """load("a b", "/x/y.csv", 'S3://b/c')""": ["/x/y.csv", "S3://b/c"],
+        """put('/no/ending') + "/data/é.csv" + "ftp://x/y" + "..//" + "./z" """: ["..//", "./z"],
+        """f("@st/dir/file.csv", "s3://hidden/x")""": ["@st/dir/file.csv"],
+        """COPY INTO @"My Stage"/d/e.json FROM '/a/b.txt'""": ['@"My Stage"/d/e.json'],
+        "nothing 'here' \"at all\"": [],
+    }
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    assert {r.line: r.p for r in df.select("line", tx.storage_paths(F.col("line")).alias("p")).collect()} == lines
+
+
+def test_every_rule_finds_its_line():
+    import re
+
+    from tidemill.plans.semi import CODE_LINES
+
+    assert set(CODE_LINES) == {r.name for r in tx.CODE_RULES}
+    assert all(re.search(r.pattern, CODE_LINES[r.name]) for r in tx.CODE_RULES)
+
+
+def test_impose_schema(spark):
+    schema = spark.createDataFrame([], "k int, d date, __audit string").schema
+    out = spark.createDataFrame([("7", "2024-02-30", 5), ("x", "2024-02-29", 6)], "k string, d string, __audit long").transform(cols.impose_schema(schema))
+    assert dict(out.dtypes) == {"k": "int", "d": "date", "__audit": "bigint"}
+    assert [tuple(r) for r in out.collect()] == [(7, None, 5), (None, datetime.date(2024, 2, 29), 6)]
+
+
+def test_persisted_frame_is_kept_and_released(spark):
+    with persisted(spark.range(5)) as kept:
+        assert kept.is_cached and kept.count() == 5
+    assert not kept.is_cached

@@ -145,21 +145,30 @@ def rule_scan(df: DataFrame, keys: Sequence[str], text: str, rules: Sequence[Rul
 # Storage protocols and file endings a path may have.
 PROTOCOLS = ["hdfs", "s3", "s3a", "s3n", "abfs", "abfss", "wasb", "wasbs", "adl", "gs", "file"]
 ENDINGS = ["csv", "parquet", "json", "avro", "orc", "txt", "data", "tsv"]
-STAGE = r"""(@(?:"[^"]+"|[A-Za-z0-9_]+)/[A-Za-z0-9]+/[^\s"']+)"""
+
+#: What stands between two quotes without a blank, and a path below a stage, quoted or not.
+QUOTED = r"""(?<=(["']))[^\s"']+(?=\1)"""
+STAGED = r"""@(?:"[^"]+"|\w+)(?:/[^\s"'/]+)+/[^\s"']+"""
 
 
 def storage_paths(line: Column, protocols: Sequence[str] = tuple(PROTOCOLS)) -> Column:
-    """Array of the quoted paths of a line; staged paths, where there are any, go before all others."""
-    every = lambda pattern, group: F.regexp_extract_all(line, F.lit(pattern), F.lit(group))
-    staged = every(STAGE, 1)
-    remote = F.zip_with(
-        every(rf"""(?i)(["'])({'|'.join(protocols)})://([^\s"']+)\1""", 2),
-        every(rf"""(?i)(["'])({'|'.join(protocols)})://([^\s"']+)\1""", 3),
-        lambda p, rest: F.concat(p, F.lit("://"), rest),
-    )
-    absolute = every(rf"""(["'])(/[a-zA-Z0-9_/.\-]+\.(?:{'|'.join(ENDINGS)}))\1""", 2)
-    relative = every(r"""(["'])(\.\.?/[^\s"']+)\1""", 2)
-    return F.when(F.size(staged) > 0, staged).otherwise(F.concat(remote, absolute, relative))
+    """Array of the quoted paths of a line; staged paths, where there are any, go before all others.
+
+    Every quoted word is a candidate; its kind says what else it must have: a known
+    protocol, a known ending behind plain characters, or something behind the dots.
+    """
+
+    def is_path(word: Column) -> Column:
+        needs = {
+            "protocol": F.lower(F.substring_index(word, "://", 1)).isin(*protocols),
+            "absolute": word.rlike(r"^[\w/.-]+\w$") & F.lower(F.substring_index(word, ".", -1)).isin(*ENDINGS) & word.contains("."),
+            "relative": word.rlike("^[.]{1,2}/."),
+        }
+        return first_match([(path_kind(word) == kind, test) for kind, test in needs.items()], False)
+
+    staged = F.regexp_extract_all(line, F.lit(STAGED), F.lit(0))
+    quoted = F.filter(F.regexp_extract_all(line, F.lit(QUOTED), F.lit(0)), is_path)
+    return F.when(F.size(staged) > 0, staged).otherwise(quoted)
 
 
 def path_kind(path: Column) -> Column:

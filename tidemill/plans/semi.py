@@ -216,6 +216,44 @@ def corpus_rule_categories(t: Tables) -> DataFrame:
     )
 
 
+# One line of code per rule, to be put behind texts; the rules find nothing in prose.
+CODE_LINES = {
+    ".rdd": "x = df.rdd.map(f)", "sc.parallelize": "sc.parallelize ([1])", "sc.textFile": "sc.textFile(p)", "dbutils": "dbutils.fs.ls(p)",
+    "DeltaTable": "t = DeltaTable", "delta.tables": "from delta.tables import x", "sparkContext._jvm": "s.sparkContext._jvm.x", "sparkContext._jsc": "s.sparkContext._jsc.y",
+    "sparkContext.hadoopConfiguration": "sparkContext.hadoopConfiguration", "pyspark.streaming": "import pyspark.streaming", "readStream": "s.readStream.load()",
+    "writeStream": "df.writeStream.start()", "pyspark.ml": "from  pyspark.ml import z", ".collect()": "df.collect( )", ".count()": "df.count()",
+    "sparkContext.broadcast": "sparkContext.broadcast(a)", "sparkContext.accumulator": "sparkContext.accumulator(0)", ".cache()": "df.cache ()",
+    "sparkContext.statusTracker": "sparkContext.statusTracker", ".toPandas()": "df.toPandas()", "applyInPandas": "g.applyInPandas(f)", "mapInPandas": "d.mapInPandas (f)",
+    "unionByName": "a.unionByName(b)", "sparkContext.master": "sparkContext.master", "SparkSession.builder": "SparkSession.builder.x", "sparkContext.getConf": "sparkContext.getConf",
+    ".hint(": "d.hint(h)", ".repartition(": "d.repartition(8)", ".coalesce(": "d.coalesce(1)",
+}
+PLANTED = [*CODE_LINES.values(), "# df.collect()", "df.collect().count()", "mydbutilsx = 1"]
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+PLANTED_SQL = f"(SELECT doc_id, text || chr(10) || ([{', '.join(map(_quoted, PLANTED))}])[1 + doc_id % {len(PLANTED)}] AS text FROM documents)"
+EVERY_RULE_SQL = "(VALUES " + ", ".join(
+    f"({_quoted(r.name)}, {_quoted(r.pattern)}, {r.score}, {_quoted(r.category)})" for r in [*tx.CODE_RULES, *TEXT_RULES]
+) + ") r(rule, pattern, score, category)"
+
+
+@query(
+    "corpus_code_rules",
+    f"""SELECT category, rule, count(*) AS n_matches, count(DISTINCT doc_id) AS n_docs, CAST(max(score) AS INTEGER) AS score
+        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM {PLANTED_SQL}) l, {EVERY_RULE_SQL}
+        WHERE NOT starts_with(trim(line, ' '), '#') AND regexp_matches(line, pattern) GROUP BY ALL""",
+)
+def corpus_code_rules(t: Tables) -> DataFrame:
+    """All rules over the documents, each with a line of code behind its text that one of the rules is about."""
+    line = F.element_at(F.lit(PLANTED), (F.col("doc_id") % len(PLANTED) + 1).cast("int"))
+    docs = t.wide("documents", "doc_id", "text").select("doc_id", F.concat("text", F.lit("\n"), line).alias("text"))
+    hits = tx.rule_matches(docs, ["doc_id"], "text", [*tx.CODE_RULES, *TEXT_RULES])
+    return hits.groupBy("category", "rule").agg(F.count("*").alias("n_matches"), F.count_distinct("doc_id").alias("n_docs"), F.max("score").alias("score"))
+
+
 PATH_LINES_SQL = """(SELECT page_id, html || chr(10) || 'a = load("s3://' || regexp_extract(url, '//([^/]+)', 1) || '/p' || page_id % 7 || '.csv")'
     || chr(10) || 'b = load(''../../in/' || regexp_extract(url, '//([^/]+)', 1) || '/x'')' || chr(10) || 'c = load("/data/d' || page_id % 5 || '/part.parquet") + load("./local.d")'
     || chr(10) || 'd = load("@OLD/gs/n' || page_id % 3 || '/{day}.json") + load("s3://hidden/by/stage")' || chr(10) || 'e = "file:///tmp/' || page_id % 4 || '.txt"' AS text FROM pages)"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame
 
 
 def overwrite_table(df: DataFrame, table: str, path: str | None = None) -> None:
@@ -20,13 +20,13 @@ def write_parquet(df: DataFrame, path: str, reprocess: bool = False) -> None:
     df.write.mode("overwrite" if reprocess else "append").parquet(path)
 
 
-def jdbc_writer(df: DataFrame, writers: int) -> DataFrameWriter:
-    """A writer that opens at most ``writers`` connections."""
-    return df.repartition(writers).write.mode("overwrite")
+def jdbc_frame(df: DataFrame, writers: int) -> DataFrame:
+    """The rows in as many tasks as may write at once, each of which opens one connection."""
+    return df.repartition(writers)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], writers: int = 10) -> None:
-    jdbc_writer(df, writers).jdbc(url=url, table=table, properties=properties)
+    jdbc_frame(df, writers).write.mode("overwrite").jdbc(url=url, table=table, properties=properties)
 
 
 def write_connector(df: DataFrame, source: str, options: dict[str, str], table: str) -> None:
