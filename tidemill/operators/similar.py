@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
+from tidemill.session import cut_lineage
+
 
 #: Texts whose lengths differ by less than this factor share a length class.
 CLASS = 1.15
@@ -172,15 +174,19 @@ def similarity_join(left: DataFrame, right: DataFrame, left_text: str, right_tex
     def emit(own_left: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = batch.column(0).to_pylist()
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([keys(t, own_left, c, rank, ratio, slack) for t in texts], pa.list_(pa.string()))], names=["t", "keys"])
+                texts = batch.column("t").to_pylist()
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([keys(t, own_left, c, rank, ratio, slack) for t in texts], pa.list_(pa.string()))], names=["id", "keys"])
 
         return run
 
-    met = []
+    # Texts are numbered and keys hashed, so what is joined and made distinct is three numbers; a hash that two keys share only adds a candidate.
+    texts, met = [], []
     for side, own_left, name in ((sides[0], True, left_text), (sides[1], False, right_text)):
-        found = side.where("t IS NOT NULL").distinct().mapInArrow(emit(own_left), "t string, keys array<string>")
-        met.append(found.select(F.col("t").alias(name), F.explode("keys").alias("__key")))
-    pairs = met[0].join(met[1], "__key").select(left_text, right_text).distinct()
-    scored = pairs.withColumn(score, similarity(F.col(left_text), F.col(right_text)))
+        numbered = cut_lineage(side.where("t IS NOT NULL").distinct().withColumn("id", F.monotonically_increasing_id()))
+        found = numbered.mapInArrow(emit(own_left), "id long, keys array<string>")
+        met.append(found.select(F.col("id").alias(f"__{name}"), F.explode(F.transform("keys", lambda k: F.xxhash64(k))).alias("__key")))
+        texts.append(numbered.select(F.col("id").alias(f"__{name}"), F.col("t").alias(name)))
+    pairs = met[0].join(met[1], "__key").select(f"__{left_text}", f"__{right_text}").distinct()
+    named = pairs.join(texts[0], f"__{left_text}").join(texts[1], f"__{right_text}").select(left_text, right_text)
+    scored = named.withColumn(score, similarity(F.col(left_text), F.col(right_text)))
     return scored.where(F.col(score) >= threshold - SLACK)
