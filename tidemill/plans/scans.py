@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemill.plans.registry import Tables, query
 from tidemill.session import scratch_path
-from tidemill.sources import readers, writers
+from tidemill.sources import readers, store, writers
 
 CUSTOMER_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
 
@@ -141,3 +141,28 @@ def temp_view_roundtrip(t: Tables) -> DataFrame:
     for suffix in ("customer", "nation"):
         t.spark.catalog.dropTempView(f"{prefix}_{suffix}")
     return out
+
+
+@query(
+    "src_connector_table",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 300000 AND o_orderstatus IN ('F', 'P')",
+)
+def connector_table(t: Tables) -> DataFrame:
+    """A named table of a connector, scanned with pushed filters."""
+    store.register(t.spark)
+    options = {"folder": scratch_path(t.spark, "store")}
+    writers.write_connector(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"), store.NAME, options, "orders", writers=4)
+    orders = readers.read_connector(t.spark, store.NAME, options, "orders")
+    return orders.where("o_totalprice > 300000 AND o_orderstatus IN ('F', 'P')").select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query("sink_connector_modes", "SELECT c_custkey, c_name, c_acctbal FROM customer UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+def connector_modes(t: Tables) -> DataFrame:
+    """An overwrite replaces what was there, an append adds to it."""
+    store.register(t.spark)
+    options = {"folder": scratch_path(t.spark, "store")}
+    customers = t.customer.select("c_custkey", "c_name", "c_acctbal")
+    writers.write_connector(customers.withColumn("c_acctbal", F.lit(0.0)), store.NAME, options, "parties")
+    writers.write_connector(customers, store.NAME, options, "parties")
+    writers.write_connector(t.supplier.select("s_suppkey", "s_name", "s_acctbal").toDF(*customers.columns), store.NAME, options, "parties", mode="append")
+    return readers.read_connector(t.spark, store.NAME, options, "parties")

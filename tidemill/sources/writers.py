@@ -29,8 +29,10 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
     jdbc_frame(df, writers).write.mode("overwrite").jdbc(url=url, table=table, properties=properties)
 
 
-def write_connector(df: DataFrame, source: str, options: dict[str, str], table: str) -> None:
-    df.write.format(source).options(**options).option("dbtable", table).mode("overwrite").save()
+def write_connector(df: DataFrame, source: str, options: dict[str, str], table: str, mode: str = "overwrite", writers: int | None = None) -> None:
+    """Named table of a connector, replaced or appended to; by ``writers`` tasks at once if given."""
+    rows = df.repartition(writers) if writers else df
+    rows.write.format(source).options(**options).option("dbtable", table).mode(mode).save()
 
 
 def register_directory(df: DataFrame, table: str, path: str) -> None:
