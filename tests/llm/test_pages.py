@@ -38,6 +38,28 @@ def test_urls(spark, broadcast):
     assert {r.verdict for r in urls.judge(pages, table.limit(0)).collect()} == {"allow"}
 
 
+def test_hosts_of_many_labels(spark):
+    """Hosts are cut at the rules' numbers of labels only, so a long one costs no more than a short one."""
+    long = "http://" + "a." * 60_000 + "example.org/es/1"
+    pages = spark.createDataFrame([(1, long), (2, "http://one/es/"), (3, "http://x.example.org/es/")], "page_id long, url string")
+    table = spark.createDataFrame([("example.org", "/es/", "block")], "host string, path string, verdict string")
+    assert {r.page_id: r.verdict for r in urls.judge(pages, table).collect()} == {1: "block", 2: "allow", 3: "block"}
+
+
+@pytest.mark.parametrize("cut", [10, 40, 2000])
+def test_cut_archives_raise(spark, tmp_path, cut):
+    """A file cut inside the headers or the payload of its last record is an error, and no shorter payload."""
+    folder = f"file://{tmp_path}/cut"
+    import random
+
+    body = "".join(random.Random(1).choices("abcdefgh \n", k=20_000))
+    warc.write_archives(spark.createDataFrame([(1, "u", body)], "page_id long, url string, html string"), folder)
+    (file,) = list((tmp_path / "cut").glob("*.warc.gz"))
+    file.write_bytes(file.read_bytes()[:-cut] if cut != 40 else file.read_bytes()[:40])
+    with pytest.raises(Exception, match="ends inside"):
+        warc.read_archives(spark, folder).count()
+
+
 def test_archives(spark, tmp_path):
     rows = [(1, "http://a/", "same"), (2, "http://b/", "same"), (3, None, None), (4, "http://c/\r\nX: y", ""), (None, "u", "same"), (5, "u", "é" * 70000), (5, "u", "twice"), (5, "u", "twice"), (6, "u", "a\r\n\r\nb")]
     pages = spark.createDataFrame([(*r, "t") for r in rows], "page_id long, url string, html string, record_type string")

@@ -26,11 +26,15 @@ def _after_scheme(url: Column, pattern: str) -> Column:
     return F.coalesce(F.when(at > 0, F.regexp_extract(rest, pattern, 1)), F.lit(""))
 
 
-def _suffixes(host: Column) -> Column:
-    """The host and every parent domain."""
+def _suffixes(host: Column, counts: list[int]) -> Column:
+    """The host's last labels, as many as a rule has: the host itself and parent domains."""
     labels = F.split(host, r"\.")
-    n = F.size(labels)
-    return F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
+    fitting = F.filter(_numbers(counts), lambda n: n <= F.size(labels))
+    return F.transform(fitting, lambda n: F.array_join(F.slice(labels, F.size(labels) - n + 1, n), "."))
+
+
+def _numbers(values: list[int]) -> Column:
+    return F.lit(sorted(values)) if values else F.lit([]).cast("array<int>")
 
 
 def _digest(host: Column, path: Column) -> Column:
@@ -51,8 +55,8 @@ def judge(
     or an empty rule table is no special case; rules with a null host, path or verdict
     fit nothing.
 
-    The path is cut only at the lengths that rules have, so a url has as many
-    expressions as it has labels times such lengths. No size of the rule table is
+    Host and path are cut only at the numbers of labels and the lengths that rules
+    have, so a url has as many expressions as there are such pairs, however long it is. No size of the rule table is
     assumed: Spark broadcasts it when its size allows and shuffles otherwise, and
     adaptive execution splits the expressions that most urls share. Each page's
     matches are combined before they are shuffled.
@@ -63,7 +67,8 @@ def judge(
     known = known.withColumn("r_digest", _digest(F.col("r_host"), F.col("r_path"))).withColumn(
         "r_key", F.substring("r_digest", 1, PREFIX)
     )
-    lengths = known.agg(F.collect_set(F.length("r_path")).alias("lengths")).first()["lengths"]
+    labels = F.size(F.split("r_host", r"\."))
+    seen = known.agg(F.collect_set(F.length("r_path")).alias("lengths"), F.collect_set(labels).alias("labels")).first()
     out = [c for c in pages.columns if c not in (host, path, rule, verdict)]
     # The number of a row stays the same when its scan task is repeated.
     rows = pages.select(
@@ -72,8 +77,8 @@ def judge(
         host_of(pages[url]).alias("host"),
         path_of(pages[url]).alias("path"),
     )
-    cuts = F.filter(F.lit(sorted(lengths)) if lengths else F.lit([]).cast("array<int>"), lambda n: n <= F.length("path"))
-    hosts = rows.withColumn("h", F.explode(_suffixes(F.col("host"))))
+    cuts = F.filter(_numbers(seen["lengths"]), lambda n: n <= F.length("path"))
+    hosts = rows.withColumn("h", F.explode_outer(_suffixes(F.col("host"), seen["labels"])))
     expressions = hosts.withColumn("n", F.explode_outer(cuts)).withColumn("p", F.expr("substring(path, 1, n)"))
     expressions = expressions.withColumn("digest", _digest(F.col("h"), F.col("p"))).withColumn("key", F.substring("digest", 1, PREFIX))
     met = expressions.join(known, expressions["key"] == known["r_key"], "left")

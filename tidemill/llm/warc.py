@@ -154,6 +154,8 @@ class WarcReader(DataSourceReader):
             if head[:4] != b"\x1f\x8b\x08\x04" or head[12:14] != b"sl":
                 raise ValueError(f"no record with a known length at byte {at}")
             length = struct.unpack_from("<I", head, 16)[0]
+            if at + length > end:
+                raise ValueError(f"the archive ends inside the record at byte {at}")
             body = head[24:length]
             inflate = zlib.decompressobj(-15)
             text = inflate.decompress(body, 4096)
@@ -164,6 +166,8 @@ class WarcReader(DataSourceReader):
                 if not more:
                     more = f.read(min(1 << 16, length - read))
                     read += len(more)
+                    if not more:
+                        raise ValueError(f"the record at byte {at} has no end of its headers")
                 text += inflate.decompress(more, 1 << 16)
             at += length
             row, http_at = self._headers(text)
