@@ -153,7 +153,6 @@ def test_bpe(docs):
 def test_records(spark, docs, tmp_path):
     path = public_tokenizers.path("byte_bpe_50k.json")
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     want = Counter((k, np.array(plain.encode(t or "", add_special_tokens=False).ids + [2], "<u4").tobytes()) for k, t in texts())
     folder = f"file://{tmp_path}/records"
     records.write_tokens(docs, folder, path, end_id=2)

@@ -7,7 +7,8 @@ import public_tokenizers
 import tiktoken
 
 from tests import oracle
-from tests.llm.test_brute import plain_lines, plain_print
+from tests.llm.test_brute import plain_lines
+from tests.llm.test_shingles import plain_components
 from tidemill.llm import bpe, queries
 from tidemill.session import scratch_path
 
@@ -35,20 +36,25 @@ def test_stages(spark):
         left = "\n".join(x for n, x in enumerate(r.text.split("\n")) if (key, r.text, n) not in gone)
         assert rows[2][key].text == left and rows[2][key].n_chars == len(left)
 
-    prints = {k: plain_print(r.text) for k, r in rows[2].items()}
-    for key in rows[2]:  # of two linked documents one is gone, and what is gone is reached from what stays
-        linked = [k for k in prints if bin(prints[k] ^ prints[key]).count("1") <= 2]
-        if key not in rows[3]:
-            assert len(linked) > 1
-        assert sum(k in rows[3] for k in linked) <= 1
+    # Of every group linked by a similarity of 0.8 between sets of five words, one stays.
+    texts = [(k, r.text) for k, r in rows[2].items()]
+    groups = {}
+    for key, group in plain_components(texts):
+        groups.setdefault(group, []).append(key)
+    assert any(len(g) > 1 for g in groups.values())
+    assert all(sum(k in rows[3] for k in g) == 1 for g in groups.values())
 
     plain = lambda t: re.sub(r"\W+", " ", t.lower()).split()
     items = [plain(r.text) for r in spark.read.parquet(f"{PATH}/benchmark.parquet").collect()]
     grams = {tuple(w[i : i + 13]) for w in items for i in range(len(w) - 12)}
+    short = {tuple(w[i : i + 5]) for w in items for i in range(len(w) - 4)}
     for key, r in rows[3].items():
         w = plain(r.text)
         if key in rows[4]:
             assert not any(tuple(w[i : i + 13]) in grams for i in range(len(w) - 12))
+        else:  # what goes has a passage of an item, whatever its names and numbers are
+            assert any(tuple(w[i : i + 5]) in short for i in range(len(w) - 4)), key
+    assert set(rows[4]) < set(rows[3])
 
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     encoding = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})

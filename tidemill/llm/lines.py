@@ -160,7 +160,8 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     of the text. A null key is before all others. Lines are cut at ``\\n``; words are
     ``[^\\x20\\x09-\\x0D]+``, compared as they are. Lines without words are never
     removed. Rows with equal key and text count as one document. Null and empty texts
-    and empty tables give no rows. Identities of word sets are 64-bit hashes.
+    and empty tables give no rows. Lines of any length are compared by all their words,
+    a text of any number of lines is cut in one task. Identities of word sets are 64-bit hashes.
     """
     with short_lived_shuffles(docs.sparkSession):
         return _removed(docs, key, text, threshold)

@@ -299,7 +299,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
     own without added special tokens: a special token written in a text is one id. A null or empty
     text is a record of the end id alone. Null keys come first and stay null; rows with
     equal keys are in the order of their text's hash, so a key that holds many rows
-    still spreads over tasks. An empty table gives no file. Other columns are not read.
+    still spreads over tasks. A long text is cut into words as it is read, and its ids are
+    one record. An empty table gives no file. Other columns are not read.
     """
     spark = docs.sparkSession
     spark.dataSource.register(RecordSource)

@@ -427,7 +427,8 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     judged on the input. Repeated rows are occurrences of their own. Null ids stay; an
     empty table gives an empty table; other columns are not read. Equality of grams,
     contexts and the bytes before a border is that of 64-bit hashes. ``docs`` must give
-    the same rows in the same order when read again, as files do.
+    the same rows in the same order when read again, as files do. A text is scanned whole
+    in one task, however long it is, and its grams are spread like all others.
     """
     kind = docs.select(key).schema[0].dataType.simpleString()
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("id"), F.col(text).alias("text"))

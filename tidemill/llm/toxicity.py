@@ -305,7 +305,8 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     """Rows (id, score), one per row of ``docs``, from the text alone.
 
     Null and empty texts get the score of a text without any feature. Repeated rows and
-    null ids stay; an empty table gives an empty table; other columns are not read.
+    null ids stay; an empty table gives an empty table; other columns are not read. All
+    tokens of a text are judged, however long it is.
     """
     kind = docs.select(key).schema[0].dataType.simpleString()
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
