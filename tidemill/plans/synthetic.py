@@ -45,9 +45,55 @@ def join_aware(t: Tables) -> DataFrame:
 ORDER_TYPES = {"o_custkey": "int", "o_totalprice": "decimal", "o_orderdate": "date", "o_orderpriority": "string"}
 
 
-@query("synth_noise")
+def _text_sql(value: str | None) -> str:
+    return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
+
+
+def _options_sql(options: list[str], u: str) -> str:
+    return f"([{', '.join(options)}])[CAST(floor({u} * {len(options)}) AS INTEGER) + 1]"
+
+
+def _format_sql(name: str, *values) -> str:
+    """The format of the noise table as an expression on ``original``."""
+    if name == "case":
+        return "upper(original)" if values[0] else "lower(original)"
+    a, b = map(_text_sql, values)
+    if name == "replace":
+        return f"replace(original, {a}, {b})"
+    around = f"{a} || original || {b}"
+    return f"({around})" if name == "around" else f"CASE WHEN starts_with(original, '-') THEN original ELSE {around} END"
+
+
+def _noise_sql(column: str, kind_of: str, original: str) -> str:
+    """The spoilt cells of one column, drawn as the operator draws them."""
+    kinds = {k: syn.NOISE_WEIGHTS[k] for k in syn.KINDS_BY_TYPE[kind_of]}
+    upto, cases, u = 0.0, [], _draw(f"{column}:which")
+    for name, weight in list(kinds.items())[:-1]:
+        upto += weight / sum(kinds.values())
+        cases.append(f"WHEN {_draw(f'{column}:kind')} < {upto!r}::DOUBLE THEN '{name}'")
+    number = kind_of in ("int", "decimal")
+    edges = {"int": [str(v) for v in syn.INT_EDGES], "decimal": syn.DECIMAL_EDGES}.get(kind_of, [None])
+    poison = {"date": syn.DATE_POISON, "string": syn.TEXT_POISON}.get(kind_of, syn.NUMBER_POISON)
+    made = {
+        "boundary": [_text_sql(v) for v in edges],
+        "format_drift": [_format_sql(*f) for f in (syn.NUMBER_FORMATS if number else syn.TEXT_FORMATS)],
+        "type_poison": [_text_sql(v) for v in poison],
+        "temporal_drift": [_text_sql(v) for v in syn.WRONG_DATES],
+    }
+    noisy = " ".join(f"WHEN '{k}' THEN {_options_sql(v, 'u')}" for k, v in made.items())
+    return f"""SELECT o_orderkey, '{column}' AS column_name, kind, original, CASE kind {noisy} END AS noisy
+        FROM (SELECT o_orderkey, CASE {' '.join(cases)} ELSE '{list(kinds)[-1]}' END AS kind, CAST({original} AS VARCHAR) AS original, {u} AS u
+              FROM orders WHERE {_draw(f'{column}:hit')} < 0.1)"""
+
+
+NOISE_SQL = " UNION ALL ".join(
+    _noise_sql(c, kind, "CAST(o_orderdate AS DATE)" if c == "o_orderdate" else c) for c, kind in ORDER_TYPES.items()
+)
+
+
+@query("synth_noise", NOISE_SQL)
 def noise(t: Tables) -> DataFrame:
-    """The log of spoilt cells; the rows themselves are checked by a test."""
+    """The log of spoilt cells, repeated by SQL draw by draw."""
     rows = t.wide("orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
     return syn.add_noise(rows, "o_orderkey", ORDER_TYPES, rate=0.1).select("o_orderkey", F.inline("noise"))
 
