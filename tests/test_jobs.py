@@ -223,3 +223,11 @@ def test_persisted_frame_is_kept_and_released(spark):
     with persisted(spark.range(5)) as kept:
         assert kept.is_cached and kept.count() == 5
     assert not kept.is_cached
+
+
+def test_nulls_stop_the_job_that_meets_them(spark):
+    good = spark.createDataFrame([(1, "a")], "k int, s string")
+    assert dq.no_nulls_in_flow(good, ["k", "s"]).collect() == good.collect()
+    bad = dq.no_nulls_in_flow(good.unionByName(spark.createDataFrame([(2, None)], "k int, s string")), ["k", "s"])
+    with pytest.raises(Exception, match="nulls found: s"):
+        bad.collect()

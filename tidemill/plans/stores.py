@@ -243,9 +243,9 @@ def pipe_trade_enrich(t: Tables) -> DataFrame:
         F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("strategy")
     )
     keys = ["l_orderkey", "l_partkey", "l_suppkey"]
-    dq.require_no_nulls(trades, keys)
     return (
         dq.columns_present(trades, [*keys, "l_returnflag"])
+        .transform(lambda df: dq.no_nulls_in_flow(df, keys))
         .transform(cols.fill_column("fx", 1.0))
         .transform(cols.notional("l_quantity", "l_extendedprice", "fx", "notional_usd"))
         .transform(cols.value_label("l_returnflag", [("N", "Purchase"), ("R", "Sale")], "type_label", "Other"))
