@@ -63,6 +63,8 @@ class Rule:
     score: int
     category: str
     literal: str = ""
+    #: A line of our own that the rule is about, for checks.
+    example: str = ""
 
     def found(self, line: Column) -> Column:
         """Matches the line; the literal every match contains is looked for first, which is far cheaper."""
@@ -71,35 +73,35 @@ class Rule:
 
 # The rules a code scan must apply, as name, pattern, score, category.
 _CODE_RULES = [
-    Rule(".rdd", r"\.rdd\b", 100, "RDD Operation"),
-    Rule("sc.parallelize", r"\bsc\.parallelize\s*\(", 100, "RDD Operation"),
-    Rule("sc.textFile", r"\bsc\.textFile\s*\(", 100, "RDD Operation"),
-    Rule("dbutils", r"\bdbutils\b", 100, "Databricks Runtime"),
-    Rule("DeltaTable", r"\bDeltaTable\b", 100, "Delta Lake"),
-    Rule("delta.tables", r"(?:from|import)\s+delta\.tables", 100, "Delta Lake"),
-    Rule("sparkContext._jvm", r"sparkContext\._jvm\b", 100, "JVM Interop"),
-    Rule("sparkContext._jsc", r"sparkContext\._jsc\b", 100, "JVM Interop"),
-    Rule("sparkContext.hadoopConfiguration", r"sparkContext\.hadoopConfiguration", 100, "JVM Interop"),
-    Rule("pyspark.streaming", r"(?:from|import)\s+pyspark\.streaming", 100, "Structured Streaming"),
-    Rule("readStream", r"\.readStream\b", 100, "Structured Streaming"),
-    Rule("writeStream", r"\.writeStream\b", 100, "Structured Streaming"),
-    Rule("pyspark.ml", r"(?:from|import)\s+pyspark\.ml\b", 100, "ML Pipeline"),
-    Rule(".collect()", r"\.collect\s*\(\s*\)", 80, "Memory Anti-Pattern"),
-    Rule(".count()", r"\.count\s*\(\s*\)", 80, "Memory Anti-Pattern"),
-    Rule("sparkContext.broadcast", r"sparkContext\.broadcast\b", 70, "SparkContext Property"),
-    Rule("sparkContext.accumulator", r"sparkContext\.accumulator\b", 70, "SparkContext Property"),
-    Rule(".cache()", r"\.cache\s*\(\s*\)", 60, "Memory Anti-Pattern"),
-    Rule("sparkContext.statusTracker", r"sparkContext\.statusTracker\b", 60, "SparkContext Property"),
-    Rule(".toPandas()", r"\.toPandas\s*\(\s*\)", 50, "Memory Anti-Pattern"),
-    Rule("applyInPandas", r"\.applyInPandas\s*\(", 50, "UDF Serialization"),
-    Rule("mapInPandas", r"\.mapInPandas\s*\(", 50, "UDF Serialization"),
-    Rule("unionByName", r"\.unionByName\s*\(", 40, "API Compatibility"),
-    Rule("sparkContext.master", r"sparkContext\.master\b", 40, "SparkContext Property"),
-    Rule("SparkSession.builder", r"SparkSession\.builder\b", 30, "Session Initialization"),
-    Rule("sparkContext.getConf", r"sparkContext\.getConf\b", 30, "SparkContext Property"),
-    Rule(".hint(", r"\.hint\s*\(", 20, "No-Op API"),
-    Rule(".repartition(", r"\.repartition\s*\(", 20, "No-Op API"),
-    Rule(".coalesce(", r"\.coalesce\s*\(", 20, "No-Op API"),
+    Rule(".rdd", r"\.rdd\b", 100, "RDD Operation", example="x = df.rdd.map(f)"),
+    Rule("sc.parallelize", r"\bsc\.parallelize\s*\(", 100, "RDD Operation", example="sc.parallelize ([1])"),
+    Rule("sc.textFile", r"\bsc\.textFile\s*\(", 100, "RDD Operation", example="sc.textFile(p)"),
+    Rule("dbutils", r"\bdbutils\b", 100, "Databricks Runtime", example="dbutils.fs.ls(p)"),
+    Rule("DeltaTable", r"\bDeltaTable\b", 100, "Delta Lake", example="t = DeltaTable"),
+    Rule("delta.tables", r"(?:from|import)\s+delta\.tables", 100, "Delta Lake", example="from delta.tables import x"),
+    Rule("sparkContext._jvm", r"sparkContext\._jvm\b", 100, "JVM Interop", example="s.sparkContext._jvm.x"),
+    Rule("sparkContext._jsc", r"sparkContext\._jsc\b", 100, "JVM Interop", example="s.sparkContext._jsc.y"),
+    Rule("sparkContext.hadoopConfiguration", r"sparkContext\.hadoopConfiguration", 100, "JVM Interop", example="sparkContext.hadoopConfiguration"),
+    Rule("pyspark.streaming", r"(?:from|import)\s+pyspark\.streaming", 100, "Structured Streaming", example="import pyspark.streaming"),
+    Rule("readStream", r"\.readStream\b", 100, "Structured Streaming", example="s.readStream.load()"),
+    Rule("writeStream", r"\.writeStream\b", 100, "Structured Streaming", example="df.writeStream.start()"),
+    Rule("pyspark.ml", r"(?:from|import)\s+pyspark\.ml\b", 100, "ML Pipeline", example="from  pyspark.ml import z"),
+    Rule(".collect()", r"\.collect\s*\(\s*\)", 80, "Memory Anti-Pattern", example="df.collect( )"),
+    Rule(".count()", r"\.count\s*\(\s*\)", 80, "Memory Anti-Pattern", example="df.count()"),
+    Rule("sparkContext.broadcast", r"sparkContext\.broadcast\b", 70, "SparkContext Property", example="sparkContext.broadcast(a)"),
+    Rule("sparkContext.accumulator", r"sparkContext\.accumulator\b", 70, "SparkContext Property", example="sparkContext.accumulator(0)"),
+    Rule(".cache()", r"\.cache\s*\(\s*\)", 60, "Memory Anti-Pattern", example="df.cache ()"),
+    Rule("sparkContext.statusTracker", r"sparkContext\.statusTracker\b", 60, "SparkContext Property", example="sparkContext.statusTracker"),
+    Rule(".toPandas()", r"\.toPandas\s*\(\s*\)", 50, "Memory Anti-Pattern", example="df.toPandas()"),
+    Rule("applyInPandas", r"\.applyInPandas\s*\(", 50, "UDF Serialization", example="g.applyInPandas(f)"),
+    Rule("mapInPandas", r"\.mapInPandas\s*\(", 50, "UDF Serialization", example="d.mapInPandas (f)"),
+    Rule("unionByName", r"\.unionByName\s*\(", 40, "API Compatibility", example="a.unionByName(b)"),
+    Rule("sparkContext.master", r"sparkContext\.master\b", 40, "SparkContext Property", example="sparkContext.master"),
+    Rule("SparkSession.builder", r"SparkSession\.builder\b", 30, "Session Initialization", example="SparkSession.builder.x"),
+    Rule("sparkContext.getConf", r"sparkContext\.getConf\b", 30, "SparkContext Property", example="sparkContext.getConf"),
+    Rule(".hint(", r"\.hint\s*\(", 20, "No-Op API", example="d.hint(h)"),
+    Rule(".repartition(", r"\.repartition\s*\(", 20, "No-Op API", example="d.repartition(8)"),
+    Rule(".coalesce(", r"\.coalesce\s*\(", 20, "No-Op API", example="d.coalesce(1)"),
 ]
 # The name of a code rule without its brackets is part of every match.
 CODE_RULES = [replace(rule, literal=rule.name.rstrip("()")) for rule in _CODE_RULES]

@@ -216,17 +216,7 @@ def corpus_rule_categories(t: Tables) -> DataFrame:
     )
 
 
-# One line of code per rule, to be put behind texts; the rules find nothing in prose.
-CODE_LINES = {
-    ".rdd": "x = df.rdd.map(f)", "sc.parallelize": "sc.parallelize ([1])", "sc.textFile": "sc.textFile(p)", "dbutils": "dbutils.fs.ls(p)",
-    "DeltaTable": "t = DeltaTable", "delta.tables": "from delta.tables import x", "sparkContext._jvm": "s.sparkContext._jvm.x", "sparkContext._jsc": "s.sparkContext._jsc.y",
-    "sparkContext.hadoopConfiguration": "sparkContext.hadoopConfiguration", "pyspark.streaming": "import pyspark.streaming", "readStream": "s.readStream.load()",
-    "writeStream": "df.writeStream.start()", "pyspark.ml": "from  pyspark.ml import z", ".collect()": "df.collect( )", ".count()": "df.count()",
-    "sparkContext.broadcast": "sparkContext.broadcast(a)", "sparkContext.accumulator": "sparkContext.accumulator(0)", ".cache()": "df.cache ()",
-    "sparkContext.statusTracker": "sparkContext.statusTracker", ".toPandas()": "df.toPandas()", "applyInPandas": "g.applyInPandas(f)", "mapInPandas": "d.mapInPandas (f)",
-    "unionByName": "a.unionByName(b)", "sparkContext.master": "sparkContext.master", "SparkSession.builder": "SparkSession.builder.x", "sparkContext.getConf": "sparkContext.getConf",
-    ".hint(": "d.hint(h)", ".repartition(": "d.repartition(8)", ".coalesce(": "d.coalesce(1)",
-}
+CODE_LINES = {r.name: r.example for r in tx.CODE_RULES}
 PLANTED = [*CODE_LINES.values(), "# df.collect()", "df.collect().count()", "mydbutilsx = 1"]
 
 
