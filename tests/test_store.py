@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import EqualTo, GreaterThan, In, IsNotNull, LessThanOrEqual
 
+from tests import oracle
 from tidemill.operators import sets
+from tidemill.plans import load_queries
 from tidemill.sources import readers, store, writers
 
 SCHEMA = "k long, s string, d date, t timestamp_ntz, n decimal(10,2), x double, a array<int>"
@@ -73,3 +75,13 @@ def test_failed_and_late_writes_change_nothing(spark, options):
     with pytest.raises(RuntimeError):
         late.commit([])
     assert readers.read_connector(spark, store.NAME, options, "t").count() == 402
+
+
+@pytest.mark.parametrize("name", ["src_connector_table", "sink_connector_modes"])
+def test_queries_by_themselves(spark, name):
+    """Neither query relies on a setting that another one left behind."""
+    spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+    path, q = "/root/testdata/sf0.001", load_queries()[name]
+    found, want = q.run(spark, path).toArrow(), oracle.connect(path).execute(q.sql).to_arrow_table()
+    spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+    assert found.num_rows and not oracle.compare(found, want)

@@ -219,4 +219,6 @@ class Store(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Makes the source known to the session, whose setting for pushed filters its reader needs."""
     spark.dataSource.register(Store)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
