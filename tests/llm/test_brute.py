@@ -1,5 +1,6 @@
 """Operators that SQL does not express, against plain versions on awkward rows."""
 
+import math
 import zlib
 from collections import Counter
 
@@ -8,6 +9,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.cases import documents, texts
@@ -142,6 +144,39 @@ def test_lines(docs):
     assert len(gone) > 5
 
 
+def test_lines_least_shared(spark):
+    """Prefixes of similar sets share at least the number that the filter asks for."""
+    rng, t = np.random.default_rng(8), lines.SIMILARITY
+    pairs = []
+    for _ in range(3000):
+        n = int(rng.integers(1, 30))
+        a = set(rng.choice(60, n, False).tolist())
+        b = set(a)
+        for _ in range(int(rng.integers(1, 4))):
+            b ^= {int(rng.integers(0, 60))}
+        if b and a != b and len(a & b) >= t * len(a | b) - 1e-9:
+            pairs.append((a, b))
+    cut = lambda s: sorted(s)[: min(len(s), len(s) - math.ceil(t * len(s) - 1e-9) + lines._shared(t))]
+    rows = [(len(a), len(b), len(set(cut(a)) & set(cut(b)))) for a, b in pairs]
+    frame = spark.createDataFrame(rows, "size int, other_size int, m int")
+    assert len(rows) > 500 and frame.where(F.col("m") < lines._least_shared(t)).count() == 0
+
+
+def test_lines_fetch_texts_of_likely_pairs_only(spark, monkeypatch):
+    """Lines that share a few words and cannot be similar are told apart without their texts."""
+    fetched, texts_of = [], lines._texts
+
+    def watched(docs, wanted):
+        fetched.append(wanted.count())
+        return texts_of(docs, wanted)
+
+    monkeypatch.setattr(lines, "_texts", watched)
+    rows = [(i, " ".join([f"pair{i // 2}", f"also{i // 2}", *(f"w{i}x{j}" for j in range(30))])) for i in range(40)]
+    rows += [(100, "one two three four five six seven eight nine ten"), (101, "one two three four five six seven eight nine zero ten")]
+    found = lines.removed_lines(documents(spark, rows)).collect()
+    assert [r.doc for r in found] == [101] and sum(fetched) == 2
+
+
 def test_bpe(docs):
     encoding = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
     want = Counter((k, np.array(encoding.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for k, t in texts())

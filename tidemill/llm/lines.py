@@ -137,8 +137,25 @@ def _possible(t: float) -> Column:
     return (F.least(x, y) >= F.greatest(x, y) * F.lit(t) - F.lit(1e-9)) & (room >= need)
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The ``order`` of pairs (order, other) whose similarity reaches the threshold."""
+def _prefix_length(size: Column, t: float) -> Column:
+    return F.least(size, size - F.ceil(size * F.lit(t) - F.lit(1e-9)) + F.lit(_shared(t)))
+
+
+def _least_shared(t: float) -> Column:
+    """Prefix words that a similar pair shares at least.
+
+    Of the two prefixes one ends first in the order of words; the words of its line that
+    it lacks are all that can be shared besides. Which one it is is not known here.
+    """
+    x, y = F.col("size"), F.col("other_size")
+    need = F.ceil((x + y) * F.lit(t / (1 + t)) - F.lit(1e-9))
+    return F.greatest(F.lit(_shared(t)), need - F.greatest(x - _prefix_length(x, t), y - _prefix_length(y, t))).cast("int")
+
+
+def _similar(pairs: DataFrame, entries: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """The ``order`` of pairs (order, other) whose similarity reaches the threshold; only the texts of these pairs are fetched."""
+    wanted = pairs.select(F.explode(F.array("order", "other")).alias("order")).distinct()
+    sets = _texts(docs, entries.join(wanted, "order", "left_semi").select("order", "first.*"))
     both = pairs.join(sets, "order").join(sets.select(F.col("order").alias("other"), F.col("content").alias("other_content")), "other")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +167,9 @@ def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                 hit.append(shared >= threshold * (len(x) + len(y) - shared) - 1e-9)
             yield pa.RecordBatch.from_arrays([batch.column("order").filter(pa.array(hit, pa.bool_()))], names=["order"])
 
-    return both.select("order", "content", "other_content").mapInArrow(run, "order long").distinct()
+    out = cut_lineage(both.select("order", "content", "other_content").mapInArrow(run, "order long").distinct())
+    drop_tables(sets)
+    return out
 
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
@@ -191,23 +210,28 @@ def _removed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFram
     earliest = earliest.select("word", F.col("pivot.order").alias("other"), F.col("pivot.size").alias("other_size"), F.col("pivot.place").alias("other_place"))
     shared = cut_lineage(held.join(earliest, "word"))
 
-    # First the holder with which an entry shares most prefix words.
+    # First the holder with which an entry shares most prefix words, if the whole prefixes share enough.
     met = shared.where((F.col("order") > F.col("other")) & _possible(threshold)).groupBy("order", "other").agg(F.count(F.lit(1)).alias("m"))
-    pivots = cut_lineage(met.groupBy("order").agg(F.max_by("other", F.struct("m", "other")).alias("other")))
-    sets = _texts(rows, entries.join(shared.select("order").distinct(), "order", "left_semi").select("order", "first.*"))
-    found = cut_lineage(_similar(pivots, sets, threshold))
+    pivots = met.groupBy("order").agg(F.max_by("other", F.struct("m", "other")).alias("other"))
+    own = entries.select("order", "size", "prefix")
+    both = pivots.join(own, "order").join(own.toDF("other", "other_size", "other_prefix"), "other")
+    in_both = F.size(F.filter("prefix", lambda w: F.array_contains("other_prefix", w)))
+    pivots = cut_lineage(both.where(in_both >= _least_shared(threshold)).select("order", "other"))
+    found = _similar(pivots, entries, rows, threshold)
     # Then, for those that are left, every earlier holder.
     open_ = shared.join(found, "order", "left_anti").select("word", "order", "size", "place")
     holders = shared.select("word", F.col("order").alias("other"), F.col("size").alias("other_size"), F.col("place").alias("other_place"))
-    rest = open_.join(holders, "word").where((F.col("other") < F.col("order")) & _possible(threshold)).groupBy("order", "other")
-    rest = rest.agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= _shared(threshold)).select("order", "other")
-    late = cut_lineage(_similar(rest.join(pivots, ["order", "other"], "left_anti"), sets, threshold))
+    rest = open_.join(holders, "word").where((F.col("other") < F.col("order")) & _possible(threshold))
+    rest = rest.groupBy("order", "other", _least_shared(threshold).alias("least")).agg(F.count(F.lit(1)).alias("m")).where("m >= least")
+    rest = cut_lineage(rest.select("order", "other").join(pivots, ["order", "other"], "left_anti"))
+    drop_tables(shared)
+    late = _similar(rest, entries, rows, threshold)
 
     gone = found.unionByName(late).select("order", F.lit(True).alias("gone"))
     judged = entries.select("order", "entry", "first", "n").join(gone, "order", "left").where((F.col("n") > 1) | F.col("gone"))
     out = lines.select(*PLACE, "entry").join(judged, "entry").where(F.col("gone").isNotNull() | (F.struct(*PLACE) != F.col("first")))
     result = cut_lineage(out.select(*PLACE).distinct())
-    drop_tables(lines, entries, shared, pivots, sets, found, late)
+    drop_tables(lines, entries, pivots, found, rest, late)
     return result
 
 
