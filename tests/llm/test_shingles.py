@@ -64,5 +64,20 @@ def test_stage_finds_near_copies(spark):
     assert len(rows) - len(kept) > 90
 
 
+def test_simhash_finds_close_copies(spark, monkeypatch):
+    """Without any band, the stage still links what its fingerprints say, and only where the sets are similar."""
+    monkeypatch.setattr(shingles, "band_keys", lambda hashes: [])
+    rng = random.Random(12)
+    base = words(rng, 900, 9)
+    rows = [(1, " ".join(base)), (2, " ".join([*base, "end"])), (3, " ".join(words(rng, 900, 9))), (4, "a b"), (5, "a b"), (6, "")]
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, documents(spark, rows), "").collect()}
+    assert kept == {1, 3, 4, 6}
+
+
+def test_simhash_pairs_of_equal_fingerprints(spark):
+    nodes = spark.createDataFrame([(1, 0), (2, 0), (3, 3), (4, 7 << 20)], "node long, fp long")
+    assert {(r.a, r.b) for r in shingles.simhash_pairs(nodes).collect()} == {(1, 2), (1, 3)}
+
+
 def test_empty(spark):
     assert shingles.deduplicate(documents(spark, [])).count() == 0
