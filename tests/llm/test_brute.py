@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.cases import documents, texts
-from tidemill.llm import bpe, lines, quality, records, simhash, suffixes, toxicity
+from tidemill.llm import bpe, decontaminate, lines, quality, records, simhash, suffixes, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -177,6 +177,24 @@ def test_lines_fetch_texts_of_likely_pairs_only(spark, monkeypatch):
     assert [r.doc for r in found] == [101] and sum(fetched) == 2
 
 
+class Refuses:
+    def fullmatch(self, text):
+        raise AssertionError(text)
+
+
+def test_plain_words_need_no_pattern(monkeypatch):
+    """Words of letters are looked up without the patterns that only others need, to the same values."""
+    words = ["word", "Word", "seven", "km", "(Word,", "\u00e9t\u00e9!"]
+    want = [decontaminate.Lexicon()[w] for w in words]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    monkeypatch.setattr(decontaminate, "NUMBER", Refuses())
+    monkeypatch.setattr(records, "LETTERS", Refuses())
+    assert [decontaminate.Lexicon()[w] for w in words] == want
+    known = records.Known(tokenizer)
+    for piece in ("word", " word", "Z", " Zqxjkvv"):
+        assert np.frombuffer(known[piece], "<u4").tolist() == tokenizer.encode(piece, add_special_tokens=False).ids
+
+
 def test_bpe(docs):
     encoding = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
     want = Counter((k, np.array(encoding.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for k, t in texts())

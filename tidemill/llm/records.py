@@ -241,6 +241,7 @@ WHITE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u30
 PIECES = re.compile(f" ?\\w+|[{WHITE}]*[^\\w{WHITE}]*\\w+|[{WHITE}]*[^\\w{WHITE}]+|[{WHITE}]+")
 CHUNKS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 LETTERS = re.compile(r" ?[^\W\d_]+")
+PACKED = [struct.Struct(f"<{n}I").pack for n in range(64)]
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -255,14 +256,18 @@ class Known(dict):
 
     def __init__(self, tokenizer) -> None:
         super().__init__()
-        self.tokenizer, self.merges, self.alphabet = tokenizer, tokenizer.model, byte_alphabet()
+        self.tokenizer, self.tokenize, self.alphabet = tokenizer, tokenizer.model.tokenize, byte_alphabet()
+        self.space = self.alphabet[ord(" ")]
 
     def __missing__(self, piece: str) -> bytes:
-        if LETTERS.fullmatch(piece):  # one token of the pattern: straight to the merges
-            ids = [t.id for t in self.merges.tokenize(piece.encode().decode("latin-1").translate(self.alphabet))]
+        bare = piece[1:] if piece[0] == " " else piece
+        if bare.isascii() and bare.isalpha():  # one token of the pattern: straight to the merges
+            ids = [t.id for t in self.tokenize(bare if bare is piece else self.space + bare)]
+        elif LETTERS.fullmatch(piece):
+            ids = [t.id for t in self.tokenize(piece.encode().decode("latin-1").translate(self.alphabet))]
         else:
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        self[piece] = found = struct.pack(f"<{len(ids)}I", *ids)
+        self[piece] = found = PACKED[len(ids)](*ids) if len(ids) < len(PACKED) else struct.pack(f"<{len(ids)}I", *ids)
         return found
 
 
