@@ -59,12 +59,13 @@ class Lexicon(dict):
         if word == "\n":
             value = NONE | END
         else:
-            bare = word.strip(STRIP)
+            letters = word.isalpha()  # nothing to strip, and no digit
+            bare = word if letters else word.strip(STRIP)
             low = bare.lower()
-            flags = END if word.rstrip("\"'”’»)]").endswith(ENDS) else 0
+            flags = END if not letters and word.rstrip("\"'”’»)]").endswith(ENDS) else 0
             if not bare:
                 flags |= NONE
-            if low in NUMBER_WORDS or NUMBER.fullmatch(low) or NUMBER.fullmatch(word.rstrip(".,;:!?")):
+            if low in NUMBER_WORDS or not (letters or bare.isalpha()) and (NUMBER.fullmatch(low) or NUMBER.fullmatch(word.rstrip(".,;:!?"))):
                 flags |= NUM
             if low in UNITS:
                 flags |= UNIT
