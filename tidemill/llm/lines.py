@@ -30,6 +30,9 @@ COUNTERS = 1 << 20
 #: Bits of the sets that tasks test before a shuffle, whatever the number of members; no member fails the test.
 FILTER_BITS = 24
 
+#: Lines of more words than this are not indexed by pairs of words.
+SHORT = 60
+
 SPACE = r"[\x20\x09-\x0D]+"
 PLACE = ("doc", "version", "line")
 
@@ -152,6 +155,44 @@ def _least_shared(t: float) -> Column:
     return F.greatest(F.lit(_shared(t)), need - F.greatest(x - _prefix_length(x, t), y - _prefix_length(y, t))).cast("int")
 
 
+def _pairs_of(prefix: str) -> Column:
+    """Keys of every two words of a prefix, in their order."""
+    two = F.transform(prefix, lambda w, i: F.transform(F.slice(prefix, i + 2, F.size(prefix)), lambda v: F.xxhash64(w, v)))
+    return F.flatten(two)
+
+
+def _met(rows: DataFrame, found: DataFrame, threshold: float, fits: Column, least: Column) -> DataFrame:
+    """Pairs (order, other) of an entry that is not in ``found`` and an earlier one that share at least so many keys of ``rows`` (order, size, key)."""
+    often = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    held = cut_lineage(_tested(rows, "key", _bits(often, "key")))
+    others = held.toDF("other", "other_size", "key")
+    met = held.join(found, "order", "left_anti").join(others, "key").where(
+        (F.col("other") < F.col("order")) & (F.least("size", "other_size") >= F.greatest("size", "other_size") * F.lit(threshold) - F.lit(1e-9)) & fits
+    )
+    met = met.groupBy("order", "other", least.alias("least")).agg(F.count(F.lit(1)).alias("n")).where("n >= least")
+    out = cut_lineage(met.select("order", "other"))
+    drop_tables(held)
+    return out
+
+
+def _holders(entries: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (order, other) of an entry that is not in ``found`` and every earlier one whose prefix shares enough words.
+
+    Where a similar pair shares two words it shares a pair of words, of which few are in
+    common use. The pairs of words of a prefix grow with its square, so lines of more than
+    ``SHORT`` words meet by single words, and so does a shorter line with such a one.
+    """
+    least = _least_shared(threshold)
+    short = SHORT if _shared(threshold) > 1 else 0
+    longer = F.greatest("size", "other_size") > F.lit(short)
+    words = entries.where(F.col("size") >= F.lit(short * threshold - 1e-9)).select("order", "size", F.explode(F.col("prefix").cast("array<long>")).alias("key"))
+    out = _met(words, found, threshold, longer, least)
+    if short:
+        pairs = entries.where(F.col("size") <= F.lit(short)).select("order", "size", F.explode(_pairs_of("prefix")).alias("key"))
+        out = out.unionByName(_met(pairs, found, threshold, ~longer, (least * (least - 1) / 2).cast("int")))
+    return out
+
+
 def _similar(pairs: DataFrame, entries: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """The ``order`` of pairs (order, other) whose similarity reaches the threshold; only the texts of these pairs are fetched."""
     wanted = pairs.select(F.explode(F.array("order", "other")).alias("order")).distinct()
@@ -219,12 +260,8 @@ def _removed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFram
     pivots = cut_lineage(both.where(in_both >= _least_shared(threshold)).select("order", "other"))
     found = _similar(pivots, entries, rows, threshold)
     # Then, for those that are left, every earlier holder.
-    open_ = shared.join(found, "order", "left_anti").select("word", "order", "size", "place")
-    holders = shared.select("word", F.col("order").alias("other"), F.col("size").alias("other_size"), F.col("place").alias("other_place"))
-    rest = open_.join(holders, "word").where((F.col("other") < F.col("order")) & _possible(threshold))
-    rest = rest.groupBy("order", "other", _least_shared(threshold).alias("least")).agg(F.count(F.lit(1)).alias("m")).where("m >= least")
-    rest = cut_lineage(rest.select("order", "other").join(pivots, ["order", "other"], "left_anti"))
     drop_tables(shared)
+    rest = cut_lineage(_holders(entries, found, threshold).join(pivots, ["order", "other"], "left_anti"))
     late = _similar(rest, entries, rows, threshold)
 
     gone = found.unionByName(late).select("order", F.lit(True).alias("gone"))
