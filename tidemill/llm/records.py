@@ -241,7 +241,6 @@ WHITE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u30
 PIECES = re.compile(f" ?\\w+|[{WHITE}]*[^\\w{WHITE}]*\\w+|[{WHITE}]*[^\\w{WHITE}]+|[{WHITE}]+")
 CHUNKS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 LETTERS = re.compile(r" ?[^\W\d_]+")
-PACKED = [struct.Struct(f"<{n}I").pack for n in range(64)]
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -258,6 +257,7 @@ class Known(dict):
         super().__init__()
         self.tokenizer, self.tokenize, self.alphabet = tokenizer, tokenizer.model.tokenize, byte_alphabet()
         self.space = self.alphabet[ord(" ")]
+        self.packed = [struct.Struct(f"<{n}I").pack for n in range(64)]
 
     def __missing__(self, piece: str) -> bytes:
         bare = piece[1:] if piece[0] == " " else piece
@@ -267,7 +267,7 @@ class Known(dict):
             ids = [t.id for t in self.tokenize(piece.encode().decode("latin-1").translate(self.alphabet))]
         else:
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        self[piece] = found = PACKED[len(ids)](*ids) if len(ids) < len(PACKED) else struct.pack(f"<{len(ids)}I", *ids)
+        self[piece] = found = self.packed[len(ids)](*ids) if len(ids) < len(self.packed) else struct.pack(f"<{len(ids)}I", *ids)
         return found
 
 
