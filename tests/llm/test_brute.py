@@ -177,6 +177,57 @@ def test_lines_fetch_texts_of_likely_pairs_only(spark, monkeypatch):
     assert [r.doc for r in found] == [101] and sum(fetched) == 2
 
 
+def test_lines_near_misses_fetch_no_texts(spark, monkeypatch):
+    """Lines that share all their rare words and too few of the common ones are told apart by their sketches."""
+    fetched, texts_of = [], lines._texts
+
+    def watched(docs, wanted):
+        fetched.append(wanted.count())
+        return texts_of(docs, wanted)
+
+    monkeypatch.setattr(lines, "_texts", watched)
+    rng, pool = np.random.default_rng(3), [f"often{i}" for i in range(200)]
+    rows = [(i, "\n".join(f"{w} alone{i}x{j}" for j, w in enumerate(pool))) for i in range(60)]
+    rows += [(100 + i, " ".join([*(f"rare{j}" for j in range(14)), *rng.choice(pool, 7, False)])) for i in range(40)]
+    want = {r[:1] + r[2:] for r in plain_lines(rows)}
+    found = lines.removed_lines(documents(spark, rows)).collect()
+    assert {(r.doc, r.line) for r in found} == want and sum(fetched) <= 4
+
+
+def test_lines_witness_is_not_the_first_holder(spark):
+    """Lines unlike the first holder of their words, and like each other, are all found."""
+    rng, base = np.random.default_rng(4), [f"w{i}" for i in range(30)]
+    rows = [(0, " ".join(base[:16] + [f"x{i}" for i in range(9)]))]
+    for i in range(1, 60):
+        own = list(base)
+        own[int(rng.integers(0, 30))] = f"other{i}"
+        rows.append((i, " ".join(own)))
+    want = {r[:1] + r[2:] for r in plain_lines(rows)}
+    assert {(r.doc, r.line) for r in lines.removed_lines(documents(spark, rows)).collect()} == want and len(want) > 50
+
+
+def test_lines_sketches_never_part_similar_sets(spark):
+    """Sketches of similar sets differ in no more bits than the filter allows."""
+    rng, t = np.random.default_rng(9), lines.SIMILARITY
+    texts_, pairs = [], []
+    for _ in range(300):
+        a = {f"w{i}" for i in rng.choice(3000, int(rng.integers(1, 120)), False).tolist()}
+        b = set(a)
+        for _ in range(int(rng.integers(1, 1 + max(2, len(a) // 5)))):
+            b ^= {f"w{int(rng.integers(0, 3000))}"} if rng.random() < 0.5 or not b else {sorted(b)[0]}
+        if b and len(a & b) >= t * len(a | b) - 1e-9:
+            pairs.append((len(texts_), len(texts_) + 1))
+            texts_ += [" ".join(sorted(a)), " ".join(sorted(b))]
+    counts = spark.sparkContext.broadcast(np.zeros(lines.COUNTERS, np.int64))
+    rows = spark.createDataFrame(list(enumerate(texts_)), "doc long, text string").selectExpr("doc", "0L as version", "text")
+    shape = "doc long, version long, line int, entry long, size int, prefix array<int>, sketch long, low_sketch long, high_sketch long"
+    cut = {r.doc: r for r in rows.mapInArrow(lines._cut(counts, t, lines._arrow(rows.schema["doc"].dataType)), shape).collect()}
+    names = ("size", *lines.SKETCHES)
+    held = [tuple(cut[i][c] for i in pair for c in names) for pair in pairs]
+    frame = spark.createDataFrame(held, [*names, *(f"other_{c}" for c in names)])
+    assert len(pairs) > 100 and frame.where(lines._close(t, *lines.SMALL) & lines._close(t, *lines.WIDE)).count() == len(pairs)
+
+
 class Refuses:
     def fullmatch(self, text):
         raise AssertionError(text)

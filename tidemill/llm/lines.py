@@ -9,6 +9,10 @@ A line goes when an earlier line is similar, so one witness is enough. Lines wit
 equal sets are one entry from the start. Each entry first meets the earliest holder of
 each of its prefix words; groups of copies, however large, end there. Only entries
 without a witness meet all earlier holders.
+
+Every set has sketches of 64 and of 128 bits; a word flips one bit of each. A word that
+only one of two sets has flips one bit of their difference, so sketches that differ in
+more bits than similar sets can differ in words tell a pair apart where it meets.
 """
 
 from __future__ import annotations
@@ -35,6 +39,9 @@ SHORT = 60
 
 SPACE = r"[\x20\x09-\x0D]+"
 PLACE = ("doc", "version", "line")
+#: The sketch of 64 bits, and the two halves of that of 128.
+SMALL, WIDE = ("sketch",), ("low_sketch", "high_sketch")
+SKETCHES = SMALL + WIDE
 
 
 def frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -61,8 +68,8 @@ def _mix(h: np.ndarray, factor: int) -> np.ndarray:
 
 
 def _cut(counts: Broadcast, threshold: float, kind: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Documents (doc, version, text) to their lines: place, identity of the word set, its size, and its prefix as 32-bit hashes."""
-    names = [*PLACE, "entry", "size", "prefix"]
+    """Documents (doc, version, text) to their lines: place, identity of the word set, its size, its prefix as 32-bit hashes, and its sketches."""
+    names = [*PLACE, "entry", "size", "prefix", *SKETCHES]
     types = [kind, pa.int64(), pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +92,11 @@ def _cut(counts: Broadcast, threshold: float, kind: pa.DataType) -> Callable[[It
                 rank = count[(h & np.uint64(COUNTERS - 1)).astype(np.int64)]
                 h = h[np.lexsort((h, rank, owner))]
                 entry = np.zeros(len(size), np.int64)
+                sketches = [entry] * len(SKETCHES)
                 if len(size):  # the sum does not depend on the order of the words
+                    small, wide = np.uint64(1) << (h >> np.uint64(58)), np.uint64(1) << (h >> np.uint64(45) & np.uint64(63))
+                    high = (h >> np.uint64(51) & np.uint64(1)).astype(bool)
+                    sketches = [np.bitwise_xor.reduceat(x, first).view(np.int64) for x in (small, np.where(high, 0, wide), np.where(high, wide, 0))]
                     entry = _mix(np.add.reduceat(_mix(h, 0x9FB21C651E98DF25), first), 0xD6E8FEB86659FD93).view(np.int64)
                 length = np.minimum(size, size - np.ceil(threshold * size - 1e-9).astype(np.int64) + _shared(threshold))
                 ends = np.cumsum(length)
@@ -93,6 +104,7 @@ def _cut(counts: Broadcast, threshold: float, kind: pa.DataType) -> Callable[[It
                 prefix = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(h[taken].view(np.int64).astype(np.int32)))
                 where = part.select(["doc", "version"]).take(pa.array(at, pa.int64()))
                 columns = [where.column(0).cast(types[0]), where.column(1), pa.array(lines, types[2]), pa.array(entry), pa.array(size, pa.int32()), prefix]
+                columns += [pa.array(x) for x in sketches]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
@@ -140,6 +152,17 @@ def _possible(t: float) -> Column:
     return (F.least(x, y) >= F.greatest(x, y) * F.lit(t) - F.lit(1e-9)) & (room >= need)
 
 
+def _close(t: float, *sketch: str) -> Column:
+    """Whether a sketch, given by its parts, leaves a pair possible; never fails a similar pair, whose sets differ in few words."""
+    x, y = F.col("size"), F.col("other_size")
+    need = F.ceil((x + y) * F.lit(t / (1 + t)) - F.lit(1e-9))
+    return _apart(*sketch) <= x + y - 2 * need
+
+
+def _apart(*sketch: str) -> Column:
+    return sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"other_{c}"))) for c in sketch), F.lit(0))
+
+
 def _prefix_length(size: Column, t: float) -> Column:
     return F.least(size, size - F.ceil(size * F.lit(t) - F.lit(1e-9)) + F.lit(_shared(t)))
 
@@ -161,13 +184,16 @@ def _pairs_of(prefix: str) -> Column:
     return F.flatten(two)
 
 
-def _met(rows: DataFrame, found: DataFrame, threshold: float, fits: Column, least: Column) -> DataFrame:
-    """Pairs (order, other) of an entry that is not in ``found`` and an earlier one that share at least so many keys of ``rows`` (order, size, key)."""
+def _met(rows: DataFrame, sketch: tuple[str, ...], found: DataFrame, threshold: float, fits: Column, least: Column) -> DataFrame:
+    """Pairs (order, other) of an entry that is not in ``found`` and an earlier one, with close sketches, that share at least so many keys of ``rows`` (order, size, sketch..., key)."""
     often = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     held = cut_lineage(_tested(rows, "key", _bits(often, "key")))
-    others = held.toDF("other", "other_size", "key")
+    others = held.toDF("other", "other_size", *(f"other_{c}" for c in sketch), "key")
     met = held.join(found, "order", "left_anti").join(others, "key").where(
-        (F.col("other") < F.col("order")) & (F.least("size", "other_size") >= F.greatest("size", "other_size") * F.lit(threshold) - F.lit(1e-9)) & fits
+        (F.col("other") < F.col("order"))
+        & (F.least("size", "other_size") >= F.greatest("size", "other_size") * F.lit(threshold) - F.lit(1e-9))
+        & _close(threshold, *sketch)
+        & fits
     )
     met = met.groupBy("order", "other", least.alias("least")).agg(F.count(F.lit(1)).alias("n")).where("n >= least")
     out = cut_lineage(met.select("order", "other"))
@@ -185,18 +211,22 @@ def _holders(entries: DataFrame, found: DataFrame, threshold: float) -> DataFram
     least = _least_shared(threshold)
     short = SHORT if _shared(threshold) > 1 else 0
     longer = F.greatest("size", "other_size") > F.lit(short)
-    words = entries.where(F.col("size") >= F.lit(short * threshold - 1e-9)).select("order", "size", F.explode(F.col("prefix").cast("array<long>")).alias("key"))
-    out = _met(words, found, threshold, longer, least)
+    words = entries.where(F.col("size") >= F.lit(short * threshold - 1e-9)).select("order", "size", *WIDE, F.explode(F.col("prefix").cast("array<long>")).alias("key"))
+    out = _met(words, WIDE, found, threshold, longer, least)
     if short:
-        pairs = entries.where(F.col("size") <= F.lit(short)).select("order", "size", F.explode(_pairs_of("prefix")).alias("key"))
-        out = out.unionByName(_met(pairs, found, threshold, ~longer, (least * (least - 1) / 2).cast("int")))
+        pairs = entries.where(F.col("size") <= F.lit(short)).select("order", "size", *SMALL, F.explode(_pairs_of("prefix")).alias("key"))
+        out = out.unionByName(_met(pairs, SMALL, found, threshold, ~longer, (least * (least - 1) / 2).cast("int")))
     return out
 
 
-def _similar(pairs: DataFrame, entries: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """The ``order`` of pairs (order, other) whose similarity reaches the threshold; only the texts of these pairs are fetched."""
-    wanted = pairs.select(F.explode(F.array("order", "other")).alias("order")).distinct()
-    sets = _texts(docs, entries.join(wanted, "order", "left_semi").select("order", "first.*"))
+def _sets(pairs: DataFrame, entries: DataFrame, docs: DataFrame) -> DataFrame:
+    """Rows (order, content) of the entries of pairs (order, other); only these texts are fetched."""
+    wanted = pairs.select("order").unionByName(pairs.select(F.col("other").alias("order"))).distinct()
+    return _texts(docs, entries.join(wanted, "order", "left_semi").select("order", "first.*"))
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The ``order`` of pairs (order, other) whose similarity reaches the threshold."""
     both = pairs.join(sets, "order").join(sets.select(F.col("order").alias("other"), F.col("content").alias("other_content")), "other")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,9 +238,7 @@ def _similar(pairs: DataFrame, entries: DataFrame, docs: DataFrame, threshold: f
                 hit.append(shared >= threshold * (len(x) + len(y) - shared) - 1e-9)
             yield pa.RecordBatch.from_arrays([batch.column("order").filter(pa.array(hit, pa.bool_()))], names=["order"])
 
-    out = cut_lineage(both.select("order", "content", "other_content").mapInArrow(run, "order long").distinct())
-    drop_tables(sets)
-    return out
+    return cut_lineage(both.select("order", "content", "other_content").mapInArrow(run, "order long").distinct())
 
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
@@ -234,10 +262,10 @@ def _removed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFram
     # A bounded number of counters.
     counts = spark.sparkContext.broadcast(frequencies(rows))
     kind = _arrow(docs.select(key).schema[0].dataType)
-    shape = f"doc {field}, version long, line int, entry long, size int, prefix array<int>"
+    shape = f"doc {field}, version long, line int, entry long, size int, prefix array<int>, sketch long, low_sketch long, high_sketch long"
     lines = cut_lineage(rows.mapInArrow(_cut(counts, threshold, kind), shape))
     grouped = lines.groupBy("entry").agg(
-        F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size"), F.first("prefix").alias("prefix")
+        F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n"), *(F.first(c).alias(c) for c in ("size", "prefix", *SKETCHES))
     )
     # Numbers that rise with the place: ranges of places are sorted, and row numbers rise over ranges.
     ranged = grouped.repartitionByRange("first").sortWithinPartitions("first")
@@ -254,21 +282,30 @@ def _removed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFram
     # First the holder with which an entry shares most prefix words, if the whole prefixes share enough.
     met = shared.where((F.col("order") > F.col("other")) & _possible(threshold)).groupBy("order", "other").agg(F.count(F.lit(1)).alias("m"))
     pivots = met.groupBy("order").agg(F.max_by("other", F.struct("m", "other")).alias("other"))
-    own = entries.select("order", "size", "prefix")
-    both = pivots.join(own, "order").join(own.toDF("other", "other_size", "other_prefix"), "other")
+    own = entries.select("order", "size", "prefix", *SKETCHES)
+    both = pivots.join(own, "order").join(own.toDF("other", *(f"other_{c}" for c in own.columns[1:])), "other")
     in_both = F.size(F.filter("prefix", lambda w: F.array_contains("other_prefix", w)))
-    pivots = cut_lineage(both.where(in_both >= _least_shared(threshold)).select("order", "other"))
-    found = _similar(pivots, entries, rows, threshold)
-    # Then, for those that are left, every earlier holder.
-    drop_tables(shared)
-    rest = cut_lineage(_holders(entries, found, threshold).join(pivots, ["order", "other"], "left_anti"))
-    late = _similar(rest, entries, rows, threshold)
-
-    gone = found.unionByName(late).select("order", F.lit(True).alias("gone"))
+    near = _close(threshold, *SMALL) & _close(threshold, *WIDE)
+    pivots = cut_lineage(both.where(near & (in_both >= _least_shared(threshold))).select("order", "other"))
+    sets = _sets(pivots, entries, rows)
+    found = _similar(pivots, sets, threshold)
+    # Then, for those that are left, every earlier holder: the one with the closest sketches, then the others.
+    drop_tables(shared, sets)
+    rest = _holders(entries, found, threshold).join(pivots, ["order", "other"], "left_anti")
+    own = entries.select("order", "size", *SKETCHES)
+    both = rest.join(own, "order").join(own.toDF("other", *(f"other_{c}" for c in own.columns[1:])), "other")
+    rest = cut_lineage(both.where(_close(threshold, *SMALL) & _close(threshold, *WIDE)).select("order", "other", _apart(*WIDE).alias("apart")))
+    sets = _sets(rest, entries, rows)
+    nearest = rest.groupBy("order").agg(F.min_by("other", F.struct("apart", "other")).alias("other"))
+    late = _similar(nearest, sets, threshold)
+    last = _similar(rest.join(late, "order", "left_anti").join(nearest, ["order", "other"], "left_anti").select("order", "other"), sets, threshold)
+    drop_tables(sets)
+
+    gone = found.unionByName(late).unionByName(last).select("order", F.lit(True).alias("gone"))
     judged = entries.select("order", "entry", "first", "n").join(gone, "order", "left").where((F.col("n") > 1) | F.col("gone"))
     out = lines.select(*PLACE, "entry").join(judged, "entry").where(F.col("gone").isNotNull() | (F.struct(*PLACE) != F.col("first")))
     result = cut_lineage(out.select(*PLACE).distinct())
-    drop_tables(lines, entries, pivots, found, rest, late)
+    drop_tables(lines, entries, pivots, found, rest, late, last)
     return result
 
 
