@@ -159,9 +159,12 @@ class Texts:
         return at[good], end[good]
 
     def fixed(self, slot: np.ndarray, length: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
-        found = np.concatenate(([0], np.cumsum(~slot)))
-        at = np.arange(max(0, len(slot) - length + 1))
-        at = at[found[at + length] - found[at] >= literals]
+        n = max(0, len(slot) - length + 1)
+        if literals:
+            found = np.concatenate(([0], np.cumsum(~slot)))
+            at = np.flatnonzero(found[length:] - found[:n] >= literals)
+        else:
+            at = np.arange(n)
         return at, at + length
 
 
@@ -218,6 +221,8 @@ def _windows(kind: pa.DataType, window: int, literals: int, lengths: dict[int, l
                     hashes = first.runs(sums, at, end)
                     if passes is not None:
                         good = passes(hashes)
+                        if not good.any():
+                            continue
                         at, end, hashes = at[good], end[good], hashes[good]
                     for i, e, h in zip(at.tolist(), end.tolist(), hashes.view(np.int64).tolist()):
                         proof = second.runs(second.of(tokens[i:e]), np.zeros(1, int), np.array([e - i]))
