@@ -1,6 +1,7 @@
 """Operators that SQL does not express, against plain versions on awkward rows."""
 
 import math
+import time
 import zlib
 from collections import Counter
 
@@ -206,6 +207,38 @@ def test_lines_witness_is_not_the_first_holder(spark):
     assert {(r.doc, r.line) for r in lines.removed_lines(documents(spark, rows)).collect()} == want and len(want) > 50
 
 
+def test_lines_large_group_without_first_witness(spark, monkeypatch):
+    """In a large group of similar lines that are unlike the first holder of their words, few meet all earlier ones."""
+    pairs, holders_of = [], lines._holders
+
+    def watched(*args):
+        found = holders_of(*args)
+        pairs.append(found.count())
+        return found
+
+    monkeypatch.setattr(lines, "_holders", watched)
+    rng, base = np.random.default_rng(6), [f"w{i}" for i in range(30)]
+    often = base[16:] + [f"x{i}" for i in range(9)]
+    rows = [(0, " ".join(base[:16] + often[-9:]))]
+    for i in range(1, 250):
+        own = list(base)
+        own[int(rng.integers(16, 30))] = f"other{i}"
+        rows.append((i, " ".join(own)))
+    rows += [(1000 + i, "\n".join(often)) for i in range(300)]  # these words are not in the prefixes
+    want = {r[:1] + r[2:] for r in plain_lines(rows)}
+    assert {(r.doc, r.line) for r in lines.removed_lines(documents(spark, rows)).collect()} == want
+    assert sum(pairs) < 5000
+
+
+def test_suffix_array_of_many_short_strings():
+    """Strings of a context's length are sorted without a step in Python for each symbol."""
+    rng = np.random.default_rng(2)
+    symbols, starts = rng.integers(0, 1000, 17 * 20000), np.arange(0, 17 * 20000 + 1, 17)
+    begin = time.process_time()
+    order = suffixes.suffix_array(symbols.tolist(), starts.tolist())
+    assert time.process_time() - begin < 1.2 and len(set(order)) == len(symbols)
+
+
 def test_lines_sketches_never_part_similar_sets(spark):
     """Sketches of similar sets differ in no more bits than the filter allows."""
     rng, t = np.random.default_rng(9), lines.SIMILARITY

@@ -7,8 +7,9 @@ candidates, and the similarity is computed from the sets.
 
 A line goes when an earlier line is similar, so one witness is enough. Lines with
 equal sets are one entry from the start. Each entry first meets the earliest holder of
-each of its prefix words; groups of copies, however large, end there. Only entries
-without a witness meet all earlier holders.
+each of its prefix words; groups of copies, however large, end there. Entries without
+a witness meet a few holders of their frequent keys, and only those that are still
+without one meet all earlier holders.
 
 Every set has sketches of 64 and of 128 bits; a word flips one bit of each. A word that
 only one of two sets has flips one bit of their difference, so sketches that differ in
@@ -17,7 +18,9 @@ more bits than similar sets can differ in words tell a pair apart where it meets
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,8 @@ FILTER_BITS = 24
 
 #: Lines of more words than this are not indexed by pairs of words.
 SHORT = 60
+#: A key with so many holders is met by a few of them first, of which there are about ``FEW``.
+HOT, FEW = 64, 16
 
 SPACE = r"[\x20\x09-\x0D]+"
 PLACE = ("doc", "version", "line")
@@ -184,25 +189,30 @@ def _pairs_of(prefix: str) -> Column:
     return F.flatten(two)
 
 
-def _met(rows: DataFrame, sketch: tuple[str, ...], found: DataFrame, threshold: float, fits: Column, least: Column) -> DataFrame:
-    """Pairs (order, other) of an entry that is not in ``found`` and an earlier one, with close sketches, that share at least so many keys of ``rows`` (order, size, sketch..., key)."""
-    often = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    held = cut_lineage(_tested(rows, "key", _bits(often, "key")))
-    others = held.toDF("other", "other_size", *(f"other_{c}" for c in sketch), "key")
-    met = held.join(found, "order", "left_anti").join(others, "key").where(
-        (F.col("other") < F.col("order"))
-        & (F.least("size", "other_size") >= F.greatest("size", "other_size") * F.lit(threshold) - F.lit(1e-9))
-        & _close(threshold, *sketch)
-        & fits
-    )
-    met = met.groupBy("order", "other", least.alias("least")).agg(F.count(F.lit(1)).alias("n")).where("n >= least")
-    out = cut_lineage(met.select("order", "other"))
-    drop_tables(held)
-    return out
+@dataclass
+class Index:
+    """Rows (order, size, sketch..., key) of the keys that several entries have, the number of holders of each, and the pairs it is for."""
+
+    held: DataFrame
+    often: DataFrame
+    #: Which pairs meet here, and how many keys they share at least.
+    fits: Column
+    least: Column
+
+    def pairs(self, threshold: float, some: DataFrame, others: DataFrame) -> DataFrame:
+        """``some`` with the earlier ones of ``others`` that have a key of theirs, a similar size and close sketches."""
+        renamed = others.toDF(*(c if c == "key" else "other" if c == "order" else f"other_{c}" for c in others.columns))
+        return some.join(renamed, "key").where(
+            (F.col("other") < F.col("order"))
+            & (F.least("size", "other_size") >= F.greatest("size", "other_size") * F.lit(threshold) - F.lit(1e-9))
+            & _close(threshold, *SMALL)
+            & (_close(threshold, *WIDE) if WIDE[0] in some.columns else F.lit(True))
+            & self.fits
+        )
 
 
-def _holders(entries: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (order, other) of an entry that is not in ``found`` and every earlier one whose prefix shares enough words.
+def _indexes(entries: DataFrame, threshold: float) -> list[Index]:
+    """Entries by the keys that similar ones share.
 
     Where a similar pair shares two words it shares a pair of words, of which few are in
     common use. The pairs of words of a prefix grow with its square, so lines of more than
@@ -211,14 +221,39 @@ def _holders(entries: DataFrame, found: DataFrame, threshold: float) -> DataFram
     least = _least_shared(threshold)
     short = SHORT if _shared(threshold) > 1 else 0
     longer = F.greatest("size", "other_size") > F.lit(short)
-    words = entries.where(F.col("size") >= F.lit(short * threshold - 1e-9)).select("order", "size", *WIDE, F.explode(F.col("prefix").cast("array<long>")).alias("key"))
-    out = _met(words, WIDE, found, threshold, longer, least)
+
+    def index(rows: DataFrame, fits: Column, least: Column) -> Index:
+        often = cut_lineage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+        return Index(cut_lineage(_tested(rows, "key", _bits(often, "key"))), often, fits, least)
+
+    words = entries.where(F.col("size") >= F.lit(short * threshold - 1e-9)).select("order", "size", *SKETCHES, F.explode(F.col("prefix").cast("array<long>")).alias("key"))
+    out = [index(words, longer, least)]
     if short:
         pairs = entries.where(F.col("size") <= F.lit(short)).select("order", "size", *SMALL, F.explode(_pairs_of("prefix")).alias("key"))
-        out = out.unionByName(_met(pairs, SMALL, found, threshold, ~longer, (least * (least - 1) / 2).cast("int")))
+        out.append(index(pairs, ~longer, (least * (least - 1) / 2).cast("int")))
     return out
 
 
+def _some_holders(index: Index, found: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (order, other) of an entry that is not in ``found`` and earlier ones among a few holders of its most frequent keys.
+
+    Some ``FEW`` of the holders of each, drawn by hash, so there are no more pairs than keys
+    times that number. In a group of similar lines most find a witness here, so the
+    lines that then meet all earlier holders do not grow with the group.
+    """
+    hot = index.often.where(F.col("n") >= F.lit(HOT))
+    held = _tested(index.held, "key", _bits(hot, "key"))
+    drawn = held.join(hot, "key").where(F.pmod(F.xxhash64("order"), "n") < F.lit(FEW)).select(*index.held.columns)
+    return index.pairs(threshold, held.join(found, "order", "left_anti"), drawn).select("order", "other").distinct()
+
+
+def _holders(index: Index, found: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (order, other) of an entry that is not in ``found`` and every earlier one that shares enough keys."""
+    met = index.pairs(threshold, index.held.join(found, "order", "left_anti"), index.held)
+    met = met.groupBy("order", "other", index.least.alias("least")).agg(F.count(F.lit(1)).alias("n")).where("n >= least")
+    return cut_lineage(met.select("order", "other"))
+
+
 def _sets(pairs: DataFrame, entries: DataFrame, docs: DataFrame) -> DataFrame:
     """Rows (order, content) of the entries of pairs (order, other); only these texts are fetched."""
     wanted = pairs.select("order").unionByName(pairs.select(F.col("other").alias("order"))).distinct()
@@ -289,9 +324,17 @@ def _removed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFram
     pivots = cut_lineage(both.where(near & (in_both >= _least_shared(threshold))).select("order", "other"))
     sets = _sets(pivots, entries, rows)
     found = _similar(pivots, sets, threshold)
-    # Then, for those that are left, every earlier holder: the one with the closest sketches, then the others.
     drop_tables(shared, sets)
-    rest = _holders(entries, found, threshold).join(pivots, ["order", "other"], "left_anti")
+    # Then a few holders of the keys that many entries have.
+    indexes = _indexes(entries, threshold)
+    some = cut_lineage(functools.reduce(DataFrame.unionByName, (_some_holders(x, found, threshold) for x in indexes)))
+    sets = _sets(some, entries, rows)
+    found = found.unionByName(_similar(some, sets, threshold))
+    drop_tables(sets)
+    # Then, for those that are left, every earlier holder: the one with the closest sketches, then the others.
+    rest = functools.reduce(DataFrame.unionByName, [_holders(x, found, threshold) for x in indexes])
+    drop_tables(*(table for x in indexes for table in (x.held, x.often)))
+    rest = rest.join(pivots, ["order", "other"], "left_anti").join(some, ["order", "other"], "left_anti")
     own = entries.select("order", "size", *SKETCHES)
     both = rest.join(own, "order").join(own.toDF("other", *(f"other_{c}" for c in own.columns[1:])), "other")
     rest = cut_lineage(both.where(_close(threshold, *SMALL) & _close(threshold, *WIDE)).select("order", "other", _apart(*WIDE).alias("apart")))
@@ -305,7 +348,7 @@ def _removed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFram
     judged = entries.select("order", "entry", "first", "n").join(gone, "order", "left").where((F.col("n") > 1) | F.col("gone"))
     out = lines.select(*PLACE, "entry").join(judged, "entry").where(F.col("gone").isNotNull() | (F.struct(*PLACE) != F.col("first")))
     result = cut_lineage(out.select(*PLACE).distinct())
-    drop_tables(lines, entries, pivots, found, rest, late, last)
+    drop_tables(lines, entries, pivots, found, some, rest, late, last)
     return result
 
 
