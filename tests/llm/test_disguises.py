@@ -37,3 +37,17 @@ def test_split_words(model, text):
 def test_long_words_are_counted(spark):
     grams = {r.gram: r.n for r in toxicity.trigrams(documents(spark, [(1, "q" * 60 + " ab")])).collect()}
     assert grams["qqq"] == 58 and grams["^ab"] == 1
+
+
+def test_pieces_are_read_once(model, monkeypatch):
+    """A piece that is part of many split words is decoded once in a task."""
+    seen, reading_of = [], toxicity.reading
+
+    def watched(token, characters):
+        seen.append(token)
+        return reading_of(token, characters)
+
+    monkeypatch.setattr(toxicity, "reading", watched)
+    vector = toxicity._vectors({"=idiot": 3.0, "=trash": 3.0}, model)
+    assert vector("id iot, 1d iot, id 10t, tr ash, tr 4sh")[0] == 3.0
+    assert seen.count("id") == seen.count("iot") == seen.count("tr") == 1

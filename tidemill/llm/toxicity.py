@@ -10,9 +10,10 @@ are the features; their weights come from labelled rows.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -81,17 +82,24 @@ def costs(grams: list) -> np.ndarray:
     return -np.log(three).astype(np.float32)
 
 
+#: Choices that were looked up, by character and length of its run; all runs of three and more have the same.
+KNOWN_CHOICES: dict[tuple[str, int], list[tuple[str, float]]] = {}
+
+
 def lattice(token: str) -> list[list[tuple[str, float]]]:
     """For each run of a character what it may have been, with the cost of the channel."""
     steps = []
     for m in RUN.finditer(token):
-        c, r = m.group(1), len(m.group(0))
-        if c in ALPHABET:
-            choices = [(c, REPEAT * (r > 1) if r != 2 else 0.5)] + ([(c + c, 0.1 if r == 2 else REPEAT)] if r > 1 else [])
-        else:
-            signs = LEET.get(c, "")
-            choices = [(x, SWAP + REPEAT * (r > 1)) for x in signs] + ([(x + y, SWAP + 0.1 if r == 2 else SWAP + REPEAT) for x in signs for y in signs] if r > 1 else [])
-            choices.append(("", 4.0 if c.isalnum() else SEPARATOR if c in LEET else 0.3))
+        c, r = m.group(1), min(m.end() - m.start(), 3)
+        choices = KNOWN_CHOICES.get((c, r))
+        if choices is None:
+            if c in ALPHABET:
+                choices = [(c, REPEAT * (r > 1) if r != 2 else 0.5)] + ([(c + c, 0.1 if r == 2 else REPEAT)] if r > 1 else [])
+            else:
+                signs = LEET.get(c, "")
+                choices = [(x, SWAP + REPEAT * (r > 1)) for x in signs] + ([(x + y, SWAP + 0.1 if r == 2 else SWAP + REPEAT) for x in signs for y in signs] if r > 1 else [])
+                choices.append(("", 4.0 if c.isalnum() else SEPARATOR if c in LEET else 0.3))
+            KNOWN_CHOICES[c, r] = choices
         steps.append(choices)
     return steps
 
@@ -101,22 +109,33 @@ def decode(token: str, model: np.ndarray) -> str:
     return reading(token, model)[1]
 
 
-def reading(token: str, model: np.ndarray) -> tuple[float, str]:
-    """Cost and text of the likeliest reading: Viterbi over the lattice, states are the last two characters."""
+def reading(token: str, model: np.ndarray | list) -> tuple[float, str]:
+    """Cost and text of the likeliest reading: Viterbi over the lattice, states are the last two characters.
+
+    Tasks pass the model as nested lists, whose elements are read much faster than those of an array.
+    """
     best: dict[tuple[int, int], tuple[float, str]] = {(START, START): (0.0, "")}
     for choices in lattice(token):
+        if len(choices) == 1 and len(best) == 1:  # one way on
+            (((a, b), (cost, out)),), ((letters, extra),) = best.items(), choices
+            if len(letters) == 1:
+                z = ALPHABET[letters]
+                best = {(b, z): (cost + extra + float(model[a][b][z]), out + letters)}
+                continue
         after: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (cost, out) in best.items():
             for letters, extra in choices:
                 x, y, total = a, b, cost + extra
                 for c in letters:
                     z = ALPHABET[c]
-                    total += float(model[x, y, z])
+                    total += float(model[x][y][z])
                     x, y = y, z
-                if (x, y) not in after or total < after[x, y][0]:
-                    after[x, y] = (total, out + letters)
+                state = (x, y)
+                known = after.get(state)
+                if known is None or total < known[0]:
+                    after[state] = (total, out + letters)
         best = after
-    return min((cost + float(model[a, b, END]), out) for (a, b), (cost, out) in best.items())
+    return min((cost + float(model[a][b][END]), out) for (a, b), (cost, out) in best.items())
 
 
 def disguised(token: str) -> bool:
@@ -131,17 +150,22 @@ def disguised(token: str) -> bool:
 
 def readings(token: str, model: np.ndarray) -> set[str]:
     """Words of a lower-case token: as written, and as restored with and without the signs around it."""
-    words = set(WORD.findall(token))
     bare = token.strip(EDGE)
+    if bare.isalpha() and not REPEATED.search(bare):  # a word as written; most tokens
+        return {bare}
+    words = set(WORD.findall(token))
     if bare and disguised(bare):
-        words |= {decode(bare, model), decode(bare.strip("*$%&#|<>"), model)}
+        words |= {decode(x, model) for x in {bare, bare.strip("*$%&#|<>")}}
     return words - {""}
 
 
-def joined(pieces: tuple[str, ...], model: np.ndarray) -> str:
-    """The word that was split into ``pieces``, or an empty text if the pieces are likelier words of their own."""
+def joined(pieces: tuple[str, ...], model: np.ndarray | list, cost_of: Callable[[str], float] | None = None) -> str:
+    """The word that was split into ``pieces``, or an empty text if the pieces are likelier words of their own.
+
+    ``cost_of`` may remember the costs of pieces.
+    """
     cost, word = reading("".join(pieces), model)
-    own = sum(reading(p, model)[0] for p in pieces)
+    own = sum(map(cost_of or (lambda p: reading(p, model)[0]), pieces))
     return word if cost + SPACE * (len(pieces) - 1) < own else ""
 
 
@@ -159,12 +183,16 @@ def tokens_of(text: str) -> set[str]:
 
 def neighbours(text: str) -> set[tuple[str, ...]]:
     """Runs of two to ``PIECES`` short tokens."""
-    tokens = [t.strip(EDGE) if 0 < len(t) <= PIECE + 1 else "" for t in text.lower().split()]
-    tokens = [t if len(t) <= PIECE else "" for t in tokens]
+    tokens = [t.strip(EDGE) if len(t) <= PIECE + 1 else "" for t in text.lower().split()]
     found: set[tuple[str, ...]] = set()
-    for n in range(2, PIECES + 1):
-        found.update(zip(*(tokens[i:] for i in range(n))))
-    return {run for run in found if all(run)}
+    start = 0
+    for end in [i for i, t in enumerate(tokens) if not 0 < len(t) <= PIECE] + [len(tokens)]:
+        if end - start > 1:  # the tokens between two that are no pieces
+            own = tokens[start:end]
+            for n in range(2, min(PIECES, len(own)) + 1):
+                found.update(zip(*(own[i:] for i in range(n))))
+        start = end + 1
+    return found
 
 
 @dataclass
@@ -179,13 +207,22 @@ class Model:
 def _vectors(weights: dict, model: np.ndarray):
     """A function from text to the document's numbers: its heaviest feature and how many tokens carry one."""
     known: dict[str, float] = {}
+    model = model.tolist()
+
+    @functools.lru_cache(REMEMBERED // 5)
+    def cost_of(piece: str) -> float:
+        return reading(piece, model)[0]
+
+    def heaviest(word: str) -> float:
+        """Of the features of one word."""
+        return max(weights.get(f"={word}", 0.0), weights.get(word[:4], 0.0) if len(word) > 4 else 0.0, weights.get(word[:5], 0.0) if len(word) > 5 else 0.0)
 
     def weight(token: str) -> float:
         found = known.get(token)
         if found is None:
             if len(known) >= REMEMBERED:
                 known.clear()
-            found = known[token] = max((weights.get(f, 0.0) for f in features(readings(token, model))), default=0.0)
+            found = known[token] = max(map(heaviest, readings(token, model)), default=0.0)
         return found
 
     together: dict[tuple[str, ...], float] = {}
@@ -199,8 +236,8 @@ def _vectors(weights: dict, model: np.ndarray):
             whole, found = "".join(pieces), 0.0
             if len(whole) > 3 and (not whole.isalpha() or f"={whole}" in weights or whole[:4] in weights or whole[:5] in weights):
                 if not whole.isdigit() and max(map(weight, pieces)) <= 0:
-                    word = joined(pieces, model)
-                    found = max((weights.get(f, 0.0) for f in features({word})), default=0.0) if word else 0.0
+                    word = joined(pieces, model, cost_of)
+                    found = heaviest(word) if word else 0.0
             together[pieces] = found
         return found
 
@@ -243,13 +280,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, set] = {}
+        model = shared.value.tolist()
 
         def of(token: str) -> set:
             found = known.get(token)
             if found is None:
                 if len(known) >= REMEMBERED // 5:
                     known.clear()
-                found = known[token] = features(readings(token, shared.value))
+                found = known[token] = features(readings(token, model))
             return found
 
         for batch in batches:
